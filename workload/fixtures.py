@@ -93,15 +93,15 @@ dated AS (
 """
 
 
-# --- grid(time, lat_idx, lon_idx, value): quarterly mean price on a 10 degree grid ---------------
-# Dividing by 7 keeps values off the half-way points of the final rounding.
+# --- grid(time, lat_idx, lon_idx, value): root of the quarterly mean price on a 10 degree grid ---------------
+# The square root keeps values off the half-way points of the final rounding.
 
 def grid_found(spark, d):
     return table(spark, d, "lineitem").groupBy(
         quarter("l_shipdate").alias("time"),
         ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % NLAT).alias("lat_idx"),
         ((F.col("l_partkey") * 5 + F.col("l_suppkey")) % NLON).alias("lon_idx"),
-    ).agg((F.avg("l_extendedprice") / 7.0).alias("value"))
+    ).agg(F.sqrt(F.avg("l_extendedprice")).alias("value"))
 
 
 def quarters():
@@ -129,7 +129,7 @@ GRID_SQL = QUARTERS_SQL + """,
 grid_found AS (
   SELECT CAST(date_trunc('quarter', l_shipdate) AS TIMESTAMP) AS time,
          (l_orderkey * 7 + l_linenumber) % 19 AS lat_idx, (l_partkey * 5 + l_suppkey) % 36 AS lon_idx,
-         avg(l_extendedprice) / 7.0::DOUBLE AS value
+         sqrt(avg(l_extendedprice)) AS value
   FROM lineitem GROUP BY 1, 2, 3),
 grid AS (
   SELECT q.time, a.lat_idx, o.lon_idx, f.value
@@ -138,13 +138,13 @@ grid AS (
 """
 
 
-# --- hfield(time, pix, value): quarterly mean price on HEALPix cells, every cell at every quarter ---
+# --- hfield(time, pix, value): root of the quarterly mean price on HEALPix cells, every cell at every quarter ---
 
 def hfield_found(spark, d, *extra):
     return table(spark, d, "lineitem").groupBy(
         quarter("l_shipdate").alias("time"), *extra,
         ((F.col("l_orderkey") * 13 + F.col("l_partkey")) % (12 * NSIDE * NSIDE)).alias("pix"),
-    ).agg((F.avg("l_extendedprice") / 7.0).alias("value"))
+    ).agg(F.sqrt(F.avg("l_extendedprice")).alias("value"))
 
 
 def hfield(spark, d):
@@ -155,7 +155,7 @@ def hfield(spark, d):
 HFIELD_SQL = QUARTERS_SQL + """,
 hfield_found AS (
   SELECT CAST(date_trunc('quarter', l_shipdate) AS TIMESTAMP) AS time, (l_orderkey * 13 + l_partkey) % 192 AS pix,
-         avg(l_extendedprice) / 7.0::DOUBLE AS value
+         sqrt(avg(l_extendedprice)) AS value
   FROM lineitem GROUP BY 1, 2),
 hfield AS (
   SELECT q.time, c.pix, f.value

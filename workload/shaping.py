@@ -87,7 +87,7 @@ def ordered(spark, d):
 HPX_STORE_SQL = fx.QUARTERS_SQL + """,
 store_found AS (
   SELECT l_returnflag AS channel, CAST(date_trunc('quarter', l_shipdate) AS TIMESTAMP) AS time,
-         (l_orderkey * 13 + l_partkey) % 192 AS pix, avg(l_quantity) / 7.0::DOUBLE AS value
+         (l_orderkey * 13 + l_partkey) % 192 AS pix, sqrt(avg(l_quantity)) AS value
   FROM lineitem GROUP BY 1, 2, 3),
 store AS (
   SELECT c.channel, q.time, p.pix, coalesce(f.value, 0.0) AS value
@@ -100,7 +100,7 @@ def hpx_store(spark, d):
     found = fx.table(spark, d, "lineitem").groupBy(
         F.col("l_returnflag").alias("channel"), fx.quarter("l_shipdate").alias("time"),
         ((F.col("l_orderkey") * 13 + F.col("l_partkey")) % 192).alias("pix"),
-    ).agg((F.avg("l_quantity") / 7.0).alias("value"))
+    ).agg(F.sqrt(F.avg("l_quantity")).alias("value"))
     cells = found.select("channel").distinct().withColumn("pix", F.explode(F.sequence(F.lit(0), F.lit(191)).cast("array<bigint>")))
     return densify(found, cells, ["channel", "pix"], fx.quarters()).withColumn("value", F.coalesce("value", F.lit(0.0)))
 

@@ -256,7 +256,7 @@ def remap_to_ll(spark, d):
 FORECAST_SQL = fx.QUARTERS_SQL + """,
 fc_found AS (
   SELECT CAST(date_trunc('year', l_shipdate) AS TIMESTAMP) AS time, l_linenumber AS step,
-         (l_orderkey * 13 + l_partkey) % 192 AS pix, avg(l_extendedprice) / 7.0::DOUBLE AS value
+         (l_orderkey * 13 + l_partkey) % 192 AS pix, sqrt(avg(l_extendedprice)) AS value
   FROM lineitem GROUP BY 1, 2, 3),
 fc AS (
   SELECT t.time, s.step, c.pix, f.value
@@ -270,7 +270,7 @@ def forecasts(spark, d):
     found = fx.table(spark, d, "lineitem").groupBy(
         F.date_trunc("year", "l_shipdate").cast("timestamp_ntz").alias("time"), F.col("l_linenumber").alias("step"),
         ((F.col("l_orderkey") * 13 + F.col("l_partkey")) % 192).alias("pix"),
-    ).agg((F.avg("l_extendedprice") / 7.0).alias("value"))
+    ).agg(F.sqrt(F.avg("l_extendedprice")).alias("value"))
     slots = found.select("time", "step").distinct().withColumn(
         "pix", F.explode(F.sequence(F.lit(0), F.lit(191)).cast("array<bigint>")))
     return slots.join(found, ["time", "step", "pix"], "left")
@@ -327,7 +327,7 @@ def tri_targets(spark, d):
 
 VERTEX_FIELD_SQL = """
 vf AS (
-  SELECT CAST(date_trunc('quarter', l_shipdate) AS TIMESTAMP) AS time, l_orderkey % 5 AS v, avg(l_extendedprice) / 7.0::DOUBLE AS value
+  SELECT CAST(date_trunc('quarter', l_shipdate) AS TIMESTAMP) AS time, l_orderkey % 5 AS v, sqrt(avg(l_extendedprice)) AS value
   FROM lineitem GROUP BY 1, 2)
 """
 
@@ -353,7 +353,7 @@ def barycentric(spark, d):
     tri, vert = fx.triangles(spark)
     yearly = fx.table(spark, d, "lineitem").groupBy(
         fx.quarter("l_shipdate").alias("time"), (F.col("l_orderkey") % 5).alias("v")
-    ).agg((F.avg("l_extendedprice") / 7.0).alias("value")).filter(F.month("time") == 1)
+    ).agg(F.sqrt(F.avg("l_extendedprice")).alias("value")).filter(F.month("time") == 1)
     out = rg.barycentric_interp(yearly, tri, vert, tri_targets(spark, d), bin_size=15.0)
     return out.select("time", "target", rnd("value", 4).alias("value"))
 
