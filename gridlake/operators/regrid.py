@@ -206,8 +206,11 @@ def regrid_nearest(df: DataFrame, target_lats: DataFrame, target_lons: DataFrame
     """
     lat = axis_map(df.select("lat") if source_lats is None else source_lats, target_lats, "lat", "nearest")
     lon = axis_map(df.select("lon") if source_lons is None else source_lons, target_lons, "lon", "nearest")
-    lat = broadcast_within(lat.select(F.col("lat").alias("_lat"), F.col("src").alias("_slat"), F.col("inside").alias("_ilat")))
-    lon = broadcast_within(lon.select(F.col("lon").alias("_lon"), F.col("src").alias("_slon"), F.col("inside").alias("_ilon")))
+    # A map has at most one row per target label, so the target axes bound its size.
+    lat = broadcast_within(
+        lat.select(F.col("lat").alias("_lat"), F.col("src").alias("_slat"), F.col("inside").alias("_ilat")), target_lats.count())
+    lon = broadcast_within(
+        lon.select(F.col("lon").alias("_lon"), F.col("src").alias("_slon"), F.col("inside").alias("_ilon")), target_lons.count())
     taken = df.join(lat, F.col("lat") == F.col("_slat")).join(lon, F.col("lon") == F.col("_slon"))
     new = {"lat": F.col("_lat"), "lon": F.col("_lon"),
            value: F.when(F.col("_ilat") & F.col("_ilon"), F.col(value))}

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.cluster import broadcast_within
+from gridlake.cluster import broadcast_within, stage_table
 from gridlake.functions.timeaxis import (
     epoch_seconds, exact_seconds, freq_seconds, truncate_hour, window_rows, year_block,
 )
@@ -21,16 +21,16 @@ def _over_trailing_rows(df: DataFrame, keys: Sequence[str], time: str, n: int, s
     """Evaluate ``make(window)`` over the trailing ``n`` places of the time axis, per series.
 
     Places are counted on the axis, so a row that is absent counts as a missing value. A regular
-    axis needs only its ``step``; otherwise the places come from the distinct times. A series is
-    cut into blocks; the last n-1 rows of a block are also handed to the next block, where they
-    only serve as history.
+    axis needs only its ``step``; otherwise the distinct times are numbered first, which reads the
+    time column once. A series is cut into blocks; the last n-1 rows of a block are also handed to
+    the next block, where they only serve as history.
     """
     if n < 1:
         raise ValueError(f"window of {n} rows")
     if step is not None:
         placed = df.withColumn("_i", F.floor(epoch_seconds(F.col(time)) / F.lit(freq_seconds(step))).cast("bigint"))
     else:
-        placed = df.join(broadcast_within(axis_positions(df, time, "_i")), time)
+        placed = df.join(broadcast_within(stage_table(axis_positions(df, time, "_i"), "axis")), time)
     size = max(n, ROLLING_BLOCK)
     own = F.floor(F.col("_i") / F.lit(size)).cast("bigint")
     tail = F.pmod(F.col("_i"), F.lit(size)) > size - n
@@ -151,10 +151,15 @@ def same_time_axis(df: DataFrame, spine: DataFrame, time: str = "time") -> bool:
 
 
 def align_to_axis(df: DataFrame, spine: DataFrame, time: str = "time", value: str = "value") -> DataFrame:
-    """Put a field on the spine's times: relabel when the axes agree to the hour, else fill forward."""
-    if same_time_axis(df, spine, time):
+    """Put a field on the spine's times: relabel when the axes agree to the hour, else fill forward.
+
+    The field's time column is read once; its distinct times serve both the comparison and the
+    search.
+    """
+    times = stage_table(df.select(time).distinct(), "times")
+    if same_time_axis(times, spine, time):
         labels = spine.select(F.col(time).alias("_target"), truncate_hour(F.col(time)).alias("_h"))
         return df.join(broadcast_within(labels), truncate_hour(F.col(time)) == F.col("_h")).select(*[
             F.col("_target").alias(time) if c == time else F.col(c) for c in df.columns
         ])
-    return reindex_ffill(df, spine, time, value)
+    return reindex_ffill(df, spine, time, value, source_times=times)

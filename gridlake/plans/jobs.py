@@ -51,10 +51,11 @@ def process_satellite(cells: DataFrame, listing: DataFrame, spine: DataFrame, ta
                       target_lons: DataFrame, grid: IndexGrid = IndexGrid()) -> DataFrame:
     """Granule cells ``(path, y, x, value)`` to the target grid and times: ``(time, lat, lon, value)``.
 
-    Only granules dated on a target time are used. Then nearest grid cell, then nearest time.
+    Only granules dated on a target time are used. Then nearest grid cell, then nearest time. The
+    list of those granules is written once, as it serves the join and the time axis.
     """
     dated = gr.time_from_filename(gr.list_granules(listing))
-    wanted = gr.granules_in_range(dated, spine).select("path", "time")
+    wanted = stage_table(gr.granules_in_range(dated, spine).select("path", "time"), "granules")
     found = cells.join(broadcast_within(wanted), "path").select("time", "y", "x", "value")
     placed = grid.coords(found).select("time", "lat", "lon", "value")
     lats, lons = grid.axes(cells.sparkSession)
@@ -144,8 +145,12 @@ def compile_training(inputs: Mapping[str, DataFrame], outputs: Mapping[str, Data
     scaling = log_epsilon or {}
     chosen = variable_files(inputs, outputs)
     ready = {name: standardise(df, name, spine, start, end, scaling.get(name)) for name, df in chosen.items()}
-    store = stack_channels({name: ready[name] for name in inputs}, "inputs")
-    store = store.unionByName(stack_channels({name: ready[name] for name in (outputs or inputs)}, "targets"))
+    targets = list(outputs or inputs)
+    store = None
+    for name, df in ready.items():
+        places = [(role, names.index(name)) for role, names in (("inputs", list(inputs)), ("targets", targets)) if name in names]
+        part = _in_roles(df, name, places)
+        store = part if store is None else store.unionByName(part)
     if constants:
         still = {name: df.select(F.lit(None).cast("timestamp_ntz").alias("time"), "pix", "value")
                  for name, df in constants.items()}
@@ -153,6 +158,14 @@ def compile_training(inputs: Mapping[str, DataFrame], outputs: Mapping[str, Data
     return select.cast_value(store, "float").select("role", "channel", "channel_idx", "time", "pix", "value")
 
 
+def _in_roles(df: DataFrame, channel: str, places: Sequence[tuple[str, int]]) -> DataFrame:
+    """A field as a channel of one or more roles; it is read once however many there are."""
+    roles = F.array(*[F.struct(F.lit(role).alias("role"), F.lit(i).alias("channel_idx")) for role, i in places])
+    return df.withColumn("_place", F.explode_outer(roles)).select(
+        "_place.role", F.lit(channel).alias("channel"), "_place.channel_idx", *df.columns
+    )
+
+
 def pack_training(store: DataFrame, nside: int) -> DataFrame:
     """A long training store as one dense block per (role, channel, time, face)."""
     cells = healpix.with_face_height_width(store, nside).withColumn(

@@ -25,11 +25,14 @@ def quarter(column: str):
     return F.date_trunc("quarter", column).cast("timestamp_ntz")
 
 
-# --- obs(cell, time, value): daily mean per user; a day without events is missing -----------------
+# Field values are square roots of means: means of amounts in cents often lie half-way between two
+# rounded results, where the order of summation would decide the comparison.
+
+# --- obs(cell, time, value): root of the daily mean per user; a day without events is missing -----
 
 def obs_found(spark, d):
     return table(spark, d, "events").groupBy(F.col("user_id").alias("cell"), day("ts").alias("time")) \
-        .agg(F.avg("value").alias("value"))
+        .agg(F.sqrt(F.avg("value")).alias("value"))
 
 
 def obs(spark, d):
@@ -40,7 +43,7 @@ def obs(spark, d):
 
 OBS_SQL = """
 obs_found AS (
-  SELECT user_id AS cell, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS time, avg(value) AS value
+  SELECT user_id AS cell, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS time, sqrt(avg(value)) AS value
   FROM events GROUP BY 1, 2),
 obs_days AS (
   SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS time),
@@ -51,16 +54,16 @@ obs AS (
 """
 
 
-# --- clim(cell, time, value): daily mean price per supplier, 1995-2001, days without are absent ---
+# --- clim(cell, time, value): root of the daily mean price per supplier; days without are absent --
 
 def clim(spark, d):
     return table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("cell"), day("l_shipdate").alias("time")) \
-        .agg(F.avg("l_extendedprice").alias("value"))
+        .agg(F.sqrt(F.avg("l_extendedprice")).alias("value"))
 
 
 CLIM_SQL = """
 clim AS (
-  SELECT l_suppkey AS cell, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS time, avg(l_extendedprice) AS value
+  SELECT l_suppkey AS cell, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS time, sqrt(avg(l_extendedprice)) AS value
   FROM lineitem GROUP BY 1, 2)
 """
 
@@ -94,7 +97,6 @@ dated AS (
 
 
 # --- grid(time, lat_idx, lon_idx, value): root of the quarterly mean price on a 10 degree grid ---------------
-# The square root keeps values off the half-way points of the final rounding.
 
 def grid_found(spark, d):
     return table(spark, d, "lineitem").groupBy(

@@ -45,7 +45,7 @@ SELECT m.target AS time, ma.lat, mb.lon,
 FROM m JOIN sat s ON s.time = coalesce(m.src, m.near) JOIN ma ON ma.y = s.y JOIN mb ON mb.x = s.x
 """)
 def satellite(spark, d):
-    cells = granule_cells(spark, d, "l_shipdate")
+    cells = src.staged(granule_cells(spark, d, "l_shipdate"), "cells")
     listing = cells.select("path").distinct()
     spine = time_spine(spark, fx.CLIM_START, fx.CLIM_END, "12h")
     lats = spark.range(9).select((90.0 - F.col("id") * 22.5).alias("lat"))
@@ -166,7 +166,7 @@ compiled AS (
 
 
 def compiled(spark, d):
-    stored = hpx_store(spark, d)
+    stored = src.staged(hpx_store(spark, d), "hpx")
     one = lambda c: stored.filter(F.col("channel") == c).select("time", "pix", "value")
     # One input in the old convention: other time and value names, and a dimension of its own.
     old = one("R").select(F.col("time").alias("sample"), "pix", F.col("value").alias("predictors"),
@@ -293,7 +293,7 @@ def whole_build(spark, d):
     ll, cells_ll, times = build_inputs(spark, d)
     field = lambda c: ll.select("time", "lat_idx", "lon_idx", c.alias("value"))
     quantity = F.coalesce("quantity", F.lit(25.0))
-    granules = granule_cells(spark, d, step_of(10))
+    granules = src.staged(granule_cells(spark, d, step_of(10)), "cells")
     return store_rows(jobs.prepare_training_set(
         BUILD, soil=field(F.sqrt("price") / 100), sp=field(F.lit(90000.0) + 100 * quantity), td=field(F.lit(250.0) + quantity),
         cells=granules, listing=granules.select("path").distinct(), edges=fx.polygon_edges(spark),
