@@ -26,16 +26,27 @@ def npix(nside: int) -> int:
     return 12 * nside * nside
 
 
-def _add(terms: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms) if terms else F.lit(0).cast("bigint")
+# Bits of a byte moved two apart, and every other bit of a byte moved together, for all bytes. A
+# lookup names its argument once; the shifts it stands for would name it once per bit, and the
+# optimizer would repeat all of that wherever a filter or a join key needs the result.
+_SPREAD = "array(" + ",".join(
+    f"{sum((byte >> k & 1) << 2 * k for k in range(8))}L" for byte in range(256)) + ")"
+_GATHER = "array(" + ",".join(
+    f"{sum((byte >> 2 * k & 1) << k for k in range(4))}L" for byte in range(256)) + ")"
+
+
+def _by_byte(table: str, value: Column, n_bytes: int, out_bits: int) -> Column:
+    """Look up each byte of ``value``; the result of one takes ``out_bits`` bits of the whole."""
+    def one(i: int) -> Column:
+        byte = F.shiftright(value, 8 * i) if i else value
+        found = F.get(F.expr(table), byte.bitwiseAND(F.lit(255).cast("bigint")).cast("int"))
+        return F.shiftleft(found, out_bits * i) if i else found
+    return reduce(lambda a, b: a + b, [one(i) for i in range(n_bytes)])
 
 
 def even_bits(index: Column, nside: int) -> Column:
     """Gather bits 0, 2, 4, ... of a within-face index."""
-    return _add([
-        F.shiftleft(F.shiftright(index, 2 * k).bitwiseAND(F.lit(1).cast("bigint")), k)
-        for k in range(level(nside))
-    ])
+    return _by_byte(_GATHER, index, max(1, -(-2 * level(nside) // 8)), 4)
 
 
 def odd_bits(index: Column, nside: int) -> Column:
@@ -45,12 +56,8 @@ def odd_bits(index: Column, nside: int) -> Column:
 
 def interleave(x: Column, y: Column, nside: int) -> Column:
     """Inverse of ``even_bits``/``odd_bits``: x to the even bits, y to the odd bits."""
-    one = F.lit(1).cast("bigint")
-    terms = []
-    for k in range(level(nside)):
-        terms.append(F.shiftleft(F.shiftright(x, k).bitwiseAND(one), 2 * k))
-        terms.append(F.shiftleft(F.shiftright(y, k).bitwiseAND(one), 2 * k + 1))
-    return _add(terms)
+    n_bytes = max(1, -(-level(nside) // 8))
+    return _by_byte(_SPREAD, x, n_bytes, 16) + F.shiftleft(_by_byte(_SPREAD, y, n_bytes, 16), 1)
 
 
 def face_of(pix: Column, nside: int) -> Column:
