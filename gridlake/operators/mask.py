@@ -34,14 +34,14 @@ def polygon_mask(cells: DataFrame, edges: DataFrame, band: float = 1.0, key: str
         & lon.between(F.least(x1, x2), F.greatest(x1, x2))
         & lat.between(F.least(y1, y2), F.greatest(y1, y2))
     )
-    inside = (
-        c.join(broadcast_within(e), "_band")
+    # A cell whose band no edge touches keeps its row, with nothing to count.
+    return (
+        c.join(broadcast_within(e), "_band", "left")
         .groupBy(key, "poly")
         .agg((F.count_if(crosses) % 2 == 1).alias("_odd"), F.bool_or(on_edge).alias("_edge"))
         .groupBy(key)
-        .agg(F.bool_or(F.col("_odd") & ~F.col("_edge")).alias("mask"))
+        .agg(F.coalesce(F.bool_or(F.col("_odd") & ~F.col("_edge")), F.lit(False)).alias("mask"))
     )
-    return cells.select(key).join(inside, key, "left").select(key, F.coalesce("mask", F.lit(False)).alias("mask"))
 
 
 def polar_cap_mask(cells: DataFrame, lat0: float = -60.0, key: str = "pix") -> DataFrame:

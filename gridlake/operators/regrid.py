@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.cluster import broadcast_within
+from gridlake.cluster import broadcast_within, stage_table
 from gridlake.functions import geo, healpix
 from gridlake.operators.axis import axis_map
 from gridlake.operators.spine import grid_spine, hpx_cells
@@ -290,6 +290,9 @@ def barycentric_weights(triangles: DataFrame, vertices: DataFrame, targets: Data
 
 def barycentric_interp(values: DataFrame, triangles: DataFrame, vertices: DataFrame, targets: DataFrame,
                        bin_size: float, group: Sequence[str] = ("time",), value: str = "value") -> DataFrame:
-    """Field values at the vertices (``v``) interpolated linearly to the targets."""
-    weights = barycentric_weights(triangles, vertices, targets, bin_size)
+    """Field values at the vertices (``v``) interpolated linearly to the targets.
+
+    The weights are written once; their size decides how the field meets them.
+    """
+    weights = stage_table(barycentric_weights(triangles, vertices, targets, bin_size), "weights")
     return apply_weights(values, weights, ["v"], ["target"], group, value)

@@ -97,9 +97,13 @@ def accumulate_and_select(df: DataFrame, times: Sequence[str], level: float | No
 
 
 def mask_job(df: DataFrame, nside: int, edges: DataFrame, fill: float, start=None, end=None,
-             mask_south: bool = False) -> DataFrame:
-    """Overwrite ice sheets, and on request everything south of 60 S, with a fill value."""
-    mask = masks.icesheet_mask(hpx_cells(df.sparkSession, nside), edges, -60.0 if mask_south else None)
+             mask_south: bool = False, mask: DataFrame | None = None) -> DataFrame:
+    """Overwrite ice sheets, and on request everything south of 60 S, with a fill value.
+
+    ``mask`` reuses a stored mask instead of testing the cells again.
+    """
+    if mask is None:
+        mask = masks.icesheet_mask(hpx_cells(df.sparkSession, nside), edges, -60.0 if mask_south else None)
     return masks.apply_mask(select.time_slice(df, start, end), mask, fill, rows=healpix.npix(nside))
 
 
@@ -166,12 +170,12 @@ def _in_roles(df: DataFrame, channel: str, places: Sequence[tuple[str, int]]) ->
     )
 
 
-def pack_training(store: DataFrame, nside: int) -> DataFrame:
+def pack_training(store: DataFrame, nside: int, unique: bool = False) -> DataFrame:
     """A long training store as one dense block per (role, channel, time, face)."""
     cells = healpix.with_face_height_width(store, nside).withColumn(
         "position", F.col("height") * nside + F.col("width")
     )
-    return src.pack_frames(cells, ["role", "channel", "channel_idx", "time", "face"], "position", size=nside * nside)
+    return src.pack_frames(cells, ["role", "channel", "channel_idx", "time", "face"], "position", size=nside * nside, unique=unique)
 
 
 def merge_training(stores: Mapping[str, Sequence[tuple[DataFrame, Sequence[str]]]], times=None,
@@ -221,11 +225,13 @@ def prepare_training_set(params: TrainingSet, soil: DataFrame, sp: DataFrame, td
     ndvi = impute_job(sat, p.satellite_fill, **span)
 
     spark = soil.sparkSession
-    weights = stage_table(regrid.ll_to_hpx_weights(hpx_cells(spark, p.nside), p.nlat, p.nlon, wrap=p.wrap), "weights")
+    hpx = stage_table(hpx_cells(spark, p.nside), "cells")
+    weights = stage_table(regrid.ll_to_hpx_weights(hpx, p.nlat, p.nlon, wrap=p.wrap), "weights")
+    mask = stage_table(masks.icesheet_mask(hpx, edges, -60.0 if p.mask_south else None), "mask")
     remap = lambda df: remap_job(df, p.nside, p.nlat, p.nlon, weights=weights)
-    q2m_mean = trailing_average_job(remap(q2m), p.window, p.freq)
-    ndvi = stage_table(mask_job(remap(ndvi), p.nside, edges, p.satellite_fill, mask_south=p.mask_south), "ndvi")
-    soil = stage_table(mask_job(remap(soil), p.nside, edges, p.ocean_fill, mask_south=p.mask_south), "soil")
+    q2m_mean = stage_table(trailing_average_job(remap(q2m), p.window, p.freq), "q2m")
+    ndvi = stage_table(mask_job(remap(ndvi), p.nside, edges, p.satellite_fill, mask=mask), "ndvi")
+    soil = stage_table(mask_job(remap(soil), p.nside, edges, p.ocean_fill, mask=mask), "soil")
 
     ranges = {"ndvi_annual_range": land_constants(ndvi, "ndvi", metas=["annual_range"]),
               "swvl1_min": land_constants(soil, "swvl1", metas=["min"]),

@@ -137,26 +137,35 @@ def layout_by_cell(df: DataFrame, cell: Sequence[str], time: str = "time") -> Da
 
 
 def pack_frames(df: DataFrame, frame: Sequence[str], position: str, value: str = "value",
-                size: int | None = None) -> DataFrame:
+                size: int | None = None, unique: bool = False) -> DataFrame:
     """One dense FLOAT array per frame, ordered by ``position`` (a cell's place in the frame).
 
     ``frame`` names the key of a block, for example (role, channel, time) or, with a fine grid,
     (role, channel, time, face), which bounds a block by the cells of one face. A position that
     occurs twice is an error, as is a block whose length differs from ``size`` when that is given.
+
+    Rows are first brought to one per position, so that a block cannot outgrow its frame. A caller
+    who knows that labels do not repeat saves that shuffle with ``unique=True``.
     """
-    packed = df.groupBy(*frame).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), F.col(value).cast("float").alias("v"))))
-        .alias("_cells")
+    cell = F.col(value).cast("float")
+    if unique:
+        cells = df.select(*frame, F.col(position).alias("_p"), cell.alias("_v"), F.lit(1).alias("_n"))
+    else:
+        cells = df.groupBy(*frame, F.col(position).alias("_p")).agg(
+            F.first(cell).alias("_v"), F.count(F.lit(1)).alias("_n"))
+    packed = cells.groupBy(*frame).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_p").alias("p"), F.col("_v").alias("v")))).alias("_cells"),
+        F.max("_n").alias("_n"),
     )
     n = F.size("_cells")
-    ok = n == F.size(F.array_distinct(F.transform("_cells", lambda c: c["p"])))
+    ok = F.col("_n") == 1
     if size is not None:
         ok = ok & (n == size)
-    values = F.transform("_cells", lambda c: c["v"])
     return packed.select(
         *frame,
-        F.when(ok, values).otherwise(
-            F.raise_error(F.format_string("frame is not dense: %d cells", n)).cast("array<float>")
+        F.when(ok, F.transform("_cells", lambda c: c["v"])).otherwise(
+            F.raise_error(F.format_string("frame is not dense: %d cells, up to %d rows for one", n, F.col("_n")))
+            .cast("array<float>")
         ).alias("values"),
     )
 

@@ -80,6 +80,7 @@ def test_pack_frames_order_and_density(spark):
         src.pack_frames(df, ["frame"], "position", size=4).collect()
     with pytest.raises(PySparkException):
         src.pack_frames(df.unionByName(df.limit(1)), ["frame"], "position").collect()
+    assert src.pack_frames(df, ["frame"], "position", unique=True).first()["values"] == [1.0, None, 3.0]
 
 
 def test_file_name_dates(spark):
