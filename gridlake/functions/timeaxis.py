@@ -36,10 +36,14 @@ def epoch_seconds(time: Column) -> Column:
     return days * 86400 + clock
 
 
+def elapsed_seconds(start: Column, end: Column) -> Column:
+    """Seconds from one zone-free timestamp to another, with the fraction, as DOUBLE."""
+    return (end - start).cast("interval second").cast("decimal(20,6)").cast("double")
+
+
 def exact_seconds(time: Column) -> Column:
     """Seconds since 1970-01-01 with the fraction, as DOUBLE."""
-    fraction = F.extract(F.lit("SECOND"), time).cast("double") - F.second(time)
-    return epoch_seconds(time).cast("double") + fraction
+    return elapsed_seconds(F.lit("1970-01-01").cast("timestamp_ntz"), time)
 
 
 def truncate_hour(time: Column) -> Column:

@@ -16,46 +16,46 @@ from pyspark.sql import functions as F
 from gridlake.functions.timeaxis import exact_seconds, year_block
 
 
+def _beside(which: str, column: str, keys: Sequence[str], order: str) -> Column:
+    """``lag`` or ``lead`` by one row, passing over NULLs."""
+    by = f"PARTITION BY {', '.join(f'`{k}`' for k in keys)} " if keys else ""
+    return F.expr(f"{which}(`{column}`, 1) IGNORE NULLS OVER ({by}ORDER BY `{order}`)")
+
+
 def with_valid_neighbours(
-    df: DataFrame, keys: Sequence[str], order: str, valid: Column, carry: Sequence[str], block: Column,
+    df: DataFrame, keys: Sequence[str], order: str, carry: Sequence[str], block: Column,
 ) -> DataFrame:
     """Add ``prev_<c>`` and ``next_<c>`` for each column c in ``carry``.
 
-    They come from the nearest row of the same series at or before, and at or after, this row for
-    which ``valid`` holds; NULL where there is none. ``block`` must not decrease along ``order``.
-    """
-    at = F.when(valid, F.col(order))
-    seen = df.withColumns({"_block": block, "_at": at, **{f"_v_{c}": F.when(valid, F.col(c)) for c in carry}})
-
-    w = Window.partitionBy(*keys, "_block").orderBy(order)
-    before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    within = {}
-    for c in carry:
-        within[f"prev_{c}"] = F.last(f"_v_{c}", ignorenulls=True).over(before)
-        within[f"next_{c}"] = F.first(f"_v_{c}", ignorenulls=True).over(after)
-    rows = seen.withColumns(within)
+    The columns in ``carry`` are all NULL in rows that are not valid. The new columns come from the
+    nearest valid row of the same series at or before, and at or after, this row; NULL where there
+    is none. ``block`` must not decrease along ``order``.
 
-    ends = seen.groupBy(*keys, "_block").agg(*[
-        e for c in carry for e in (
-            F.max_by(f"_v_{c}", "_at").alias(f"_last_{c}"), F.min_by(f"_v_{c}", "_at").alias(f"_first_{c}"),
-        )
+    Ahead and back share one sort: the next value is ``lead`` without NULLs. (A frame that reaches to
+    the end of its group would be evaluated anew for every row.)
+    """
+    seen = df.withColumn("_block", block)
+    group = [*keys, "_block"]
+    rows = seen.withColumns({
+        n: F.coalesce(F.col(c), _beside(which, c, group, order))
+        for c in carry for n, which in ((f"prev_{c}", "lag"), (f"next_{c}", "lead"))
+    })
+
+    at = F.when(F.col(carry[0]).isNotNull(), F.col(order))
+    ends = seen.groupBy(*group).agg(*[
+        e for c in carry for e in (F.max_by(c, at).alias(f"_last_{c}"), F.min_by(c, at).alias(f"_first_{c}"))
     ])
-    b = Window.partitionBy(*keys).orderBy("_block")
-    earlier = b.rowsBetween(Window.unboundedPreceding, -1)
-    later = b.rowsBetween(1, Window.unboundedFollowing)
-    around = ends.select(*keys, "_block", *[
+    around = ends.select(*group, *[
         e for c in carry for e in (
-            F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_before_{c}"),
-            F.first(f"_first_{c}", ignorenulls=True).over(later).alias(f"_after_{c}"),
+            _beside("lag", f"_last_{c}", keys, "_block").alias(f"_before_{c}"),
+            _beside("lead", f"_first_{c}", keys, "_block").alias(f"_after_{c}"),
         )
     ])
-    joined = rows.join(around, [*keys, "_block"], "left")
     filled = {}
     for c in carry:
         filled[f"prev_{c}"] = F.coalesce(f"prev_{c}", f"_before_{c}")
         filled[f"next_{c}"] = F.coalesce(f"next_{c}", f"_after_{c}")
-    return joined.withColumns(filled).select(*df.columns, *filled)
+    return rows.join(around, group, "left").withColumns(filled).select(*df.columns, *filled)
 
 
 def nearest_choice(prev_at: Column, at: Column, next_at: Column, prev, next_) -> Column:
@@ -78,14 +78,15 @@ def axis_map(source: DataFrame, target: DataFrame, axis: str, how: str, block_wi
     at = exact_seconds(F.col(axis)) if is_time else F.col(axis)
     sources = source.select(axis).distinct().withColumn("_src", F.col(axis))
     targets = target.select(axis).distinct().withColumn("_want", F.lit(True))
-    both = targets.join(sources, axis, "full_outer").withColumn("_pos", at)
+    both = targets.join(sources, axis, "full_outer").withColumn("_pos", at) \
+        .withColumn("_at", F.when(F.col("_src").isNotNull(), F.col("_pos")))
     block = year_block(F.col(axis)) if is_time else F.floor(F.col(axis) / F.lit(block_width))
-    near = with_valid_neighbours(both, [], axis, F.col("_src").isNotNull(), ["_src", "_pos"], block).filter("_want")
+    near = with_valid_neighbours(both, [], axis, ["_src", "_at"], block).filter("_want")
     prev, next_ = F.col("prev__src"), F.col("next__src")
     if how == "ffill":
         src = prev
     else:
-        src = nearest_choice(F.col("prev__pos"), F.col("_pos"), F.col("next__pos"), prev, next_)
+        src = nearest_choice(F.col("prev__at"), F.col("_pos"), F.col("next__at"), prev, next_)
     return near.select(
         axis, F.coalesce(src, prev, next_).alias("src"), src.isNotNull().alias("inside")
     )

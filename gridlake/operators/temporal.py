@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridlake.cluster import broadcast_within, stage_table
 from gridlake.functions.timeaxis import (
-    epoch_seconds, exact_seconds, freq_seconds, truncate_hour, window_rows, year_block,
+    elapsed_seconds, epoch_seconds, freq_seconds, truncate_hour, window_rows, year_block,
 )
 from gridlake.operators.axis import axis_map, axis_positions, with_valid_neighbours
 
@@ -73,13 +73,12 @@ def trailing_mean_over(df: DataFrame, window: str, dt: str, **kwargs) -> DataFra
 def interpolate_time(df: DataFrame, keys: Sequence[str] = ("cell",), time: str = "time",
                      value: str = "value", block: Column | None = None) -> DataFrame:
     """Fill gaps linearly in time between the nearest valid neighbours; ends stay missing."""
+    known = df.withColumn("_at", F.when(F.col(value).isNotNull(), F.col(time)))
     near = with_valid_neighbours(
-        df.withColumn("_s", exact_seconds(F.col(time))), keys, time, F.col(value).isNotNull(), ["_s", value],
-        year_block(F.col(time)) if block is None else block,
-    )
-    t0, t1 = F.col("prev__s"), F.col("next__s")
+        known, keys, time, ["_at", value], year_block(F.col(time)) if block is None else block)
+    t0, t1 = F.col("prev__at"), F.col("next__at")
     v0, v1 = F.col(f"prev_{value}"), F.col(f"next_{value}")
-    line = v0 + (v1 - v0) * ((F.col("_s") - t0) / (t1 - t0))
+    line = v0 + (v1 - v0) * (elapsed_seconds(t0, F.col(time)) / elapsed_seconds(t0, t1))
     return near.withColumn(value, F.coalesce(F.col(value), F.when(t1 > t0, line))).select(*df.columns)
 
 
