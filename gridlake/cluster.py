@@ -43,9 +43,13 @@ def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="gridlake-")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other table has."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, so later steps start from files."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)

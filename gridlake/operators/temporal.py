@@ -59,7 +59,7 @@ def trailing_mean(df: DataFrame, n: int, keys: Sequence[str] = ("cell",), time:
     """
     out = out or value
     mean = lambda d, w: d.withColumn(
-        out, F.when(F.count(value).over(w) == n, F.avg(value).over(w))
+        out, F.when(F.count(value).over(w) == n, F.sum(value).over(w) / n)
     )
     done = _over_trailing_rows(df, keys, time, n, step, mean)
     return done if out == value else done.drop(value)

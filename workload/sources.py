@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridlake.cluster import shared_dir, stage_table
+from gridlake.cluster import scratch_path, stage_table
 from gridlake.operators.spine import densify, regular_times, time_spine
 from gridlake.sources import fields as src
 from gridlake.sources import granules as gr
@@ -75,7 +75,7 @@ def shift_longitude(spark, d):
 
 @query("A7_write_field", f"WITH {fx.OBS_SQL} SELECT cell, time, {srnd('value')} AS value FROM obs")
 def write_field(spark, d):
-    path = src.staged(spark.range(1), "sink-root").inputFiles()[0].rsplit("/", 1)[0] + "/field"
+    path = scratch_path(spark, "field")
     field = fx.obs(spark, d)
     src.write_field(field, path)
     # A finished field is there: this write must be skipped, before any work.
@@ -113,8 +113,8 @@ def pack_frames(spark, d):
 @query("A8_write_frames", FRAME_SQL)
 def write_frames(spark, d):
     packed = src.pack_frames(frame_store(spark, d), ["channel", "time"], "pix", size=FRAME_CELLS)
-    path = f"{shared_dir(spark)}/frames-{spark.sparkContext.applicationId}-{id(packed)}"
-    src.write_frames(packed.withColumn("role", F.lit("inputs")), path, overwrite=True)
+    path = scratch_path(spark, "frames")
+    src.write_frames(packed.withColumn("role", F.lit("inputs")), path)
     return src.unpack_frames(spark.read.parquet(path), ["channel", "time"]).select(
         "channel", "time", "position", rnd(F.col("value").cast("double"), 4).alias("value"))
 
