@@ -29,17 +29,18 @@ def npix(nside: int) -> int:
 # Bits of a byte moved two apart, and every other bit of a byte moved together, for all bytes. A
 # lookup names its argument once; the shifts it stands for would name it once per bit, and the
 # optimizer would repeat all of that wherever a filter or a join key needs the result.
-_SPREAD = "array(" + ",".join(
-    f"{sum((byte >> k & 1) << 2 * k for k in range(8))}L" for byte in range(256)) + ")"
-_GATHER = "array(" + ",".join(
-    f"{sum((byte >> 2 * k & 1) << k for k in range(4))}L" for byte in range(256)) + ")"
+# The tables are written as text, which the optimizer turns into one constant.
+_SPREAD = ",".join(str(sum((byte >> k & 1) << 2 * k for k in range(8))) for byte in range(256))
+_GATHER = ",".join(str(sum((byte >> 2 * k & 1) << k for k in range(4))) for byte in range(256))
 
 
 def _by_byte(table: str, value: Column, n_bytes: int, out_bits: int) -> Column:
     """Look up each byte of ``value``; the result of one takes ``out_bits`` bits of the whole."""
+    entries = F.split(F.lit(table), ",").cast("array<bigint>")
+
     def one(i: int) -> Column:
         byte = F.shiftright(value, 8 * i) if i else value
-        found = F.get(F.expr(table), byte.bitwiseAND(F.lit(255).cast("bigint")).cast("int"))
+        found = F.get(entries, byte.bitwiseAND(F.lit(255).cast("bigint")).cast("int"))
         return F.shiftleft(found, out_bits * i) if i else found
     return reduce(lambda a, b: a + b, [one(i) for i in range(n_bytes)])
 
