@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import language
+from gridlake.llm import language, quality, toxicity
 from gridlake.llm.shared import ship_package, split_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_quality")
+def op2_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = split_of("doc_id", 3) == 1
+    model = quality.fit(docs, labels, learn=~held_out)
+    return quality.score(docs, model, keep={"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = split_of("doc_id", 5) == 0
+    model = toxicity.fit(docs, labels, learn=~held_out)
+    return toxicity.score(docs, model, keep={"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
 @query("op6_language_id")
 def op6_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
