@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from gridlake.llm.shared import blocks, bounded_sample
 
@@ -188,7 +189,7 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text", keep: dict
 
 def accepted(profiles: Profiles, text: str = "text", least: float = 0.0) -> Column:
     """Whether a text has a recognised language: not ``und`` and a score above ``least``."""
-    @F.arrow_udf("boolean")
+    @F.arrow_udf(BooleanType())
     def known(texts: pa.Array) -> pa.Array:
         names, scores = predict_texts(texts, profiles)
         return pa.array([n != "und" and s > least for n, s in zip(names, scores)], pa.bool_())

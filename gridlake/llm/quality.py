@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from gridlake.llm.shared import SPACE, blocks, bounded_sample, per_text, word_hashes, words
 
@@ -195,7 +196,7 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", keep: dict[s
 
 def accepted(model: QualityModel, text: str = "text", least: float = 0.5) -> Column:
     """Whether a text scores at least ``least``."""
-    @F.arrow_udf("boolean")
+    @F.arrow_udf(BooleanType())
     def good(texts: pa.Array) -> pa.Array:
         return pa.array(model.score(texts) >= least)
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import language, quality, toxicity
+from gridlake.llm import language, near_dedup, quality, toxicity
 from gridlake.llm.shared import ship_package, split_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op6_language_id(spark, sf_dir):
     held_out = split_of("doc_id", 3) == 1
     profiles = language.fit(docs, learn=~held_out)
     return language.identify(docs, profiles, keep={"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
+@query("op8_near_dedup")
+def op8_near_dedup(spark, sf_dir):
+    return near_dedup.find_groups(table(spark, sf_dir, "documents"))
