@@ -5,12 +5,15 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import language, near_dedup, quality, toxicity
+from gridlake.llm import arrow_tokens, language, near_dedup, packing, quality, toxicity
 from gridlake.llm.shared import ship_package, split_of
 
+END_ID = 2          # ends every document's ids
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -30,6 +33,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def word_tokenizer() -> str:
+    """The file of the public word tokenizer, as its package names it."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -61,3 +69,13 @@ def op6_language_id(spark, sf_dir):
 @query("op8_near_dedup")
 def op8_near_dedup(spark, sf_dir):
     return near_dedup.find_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op7_arrow_tokens")
+def op7_arrow_tokens(spark, sf_dir):
+    return arrow_tokens.encode_documents(table(spark, sf_dir, "documents"), word_tokenizer(), END_ID)
+
+
+@query("op9_packing")
+def op9_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer(), END_ID, with_ids=False)
