@@ -152,12 +152,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", d
         return QualityModel(empty, tuple(np.zeros(1) for _ in MEASURES), 0.0, 0.5)
     prior = (n_good + 1) / (n_good + n_bad + 2)
     good = bounded_sample(marks.filter("mark = 1"), F.col(doc_id), sample, n_good).select(
-        F.col(doc_id).alias("id"), F.lit(1).alias("good"))
+        F.col(doc_id).alias("id"), F.lit(1).alias("good"))        # two numbers for each of about ``sample`` documents
     n_docs = docs.filter(learn).count()
     some = bounded_sample(docs.filter(learn), F.coalesce(F.col(doc_id), F.lit(-1)), sample, n_docs, seed=13).select(
         F.col(doc_id).alias("id"), F.col(text).alias("text"), F.lit(0).alias("good"))
     trusted = docs.filter(learn).select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
-        good, "id").select("id", "text", "good")
+        F.broadcast(good), "id").select("id", "text", "good")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -258,7 +258,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", d
     key = F.col(doc_id)
     picked = bounded_sample(marks.filter("mark = 1"), key, sample, n_toxic).unionByName(
         bounded_sample(marks.filter("mark = 0"), key, sample, n_clean)).select(key.alias("id"), "mark")
-    rows = docs.filter(learn).select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(picked, "id")
+    rows = docs.filter(learn).select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
+        F.broadcast(picked), "id")                       # two numbers for each of about 2 * sample documents
     rows = rows.select("mark", F.coalesce("text", F.lit("")).alias("text"))
 
     def sentence_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
