@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import arrow_tokens, language, near_dedup, packing, quality, toxicity
+from gridlake.llm import arrow_tokens, decontaminate, language, near_dedup, packing, quality, toxicity
 from gridlake.llm.shared import ship_package, split_of
 
 END_ID = 2          # ends every document's ids
@@ -79,3 +79,10 @@ def op7_arrow_tokens(spark, sf_dir):
 @query("op9_packing")
 def op9_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer(), END_ID, with_ids=False)
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    indexes = decontaminate.build_indexes(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_leaks(docs, indexes)
