@@ -13,8 +13,9 @@ steps that never pair up a whole bucket:
 
 1. Every bucket has a pivot, the member that shares buckets with most others. Its pairs with the other
    members are verified, and the links give preliminary components.
-2. Buckets that still hold several components are searched in blocks of bounded size; only pairs from
-   different components whose sketches agree well enough are verified as well.
+2. Buckets that still hold several components are searched in tiles of two blocks of members. Pairs of
+   different components whose sketches agree well enough, each in one of its buckets, are verified where the
+   tile's texts have been brought together, so that a text travels once for a tile and not for each pair.
 
 A pair inside one component needs no test: its link would change nothing.
 """
@@ -36,7 +37,7 @@ SHINGLE_WORDS = 5
 PERCENT = 85               # link from 100 * intersection >= PERCENT * union on
 BAND_ROWS, BANDS = 6, 28
 COORDINATES = BAND_ROWS * BANDS
-BLOCK_NODES = 512          # of a bucket's members that are compared at once
+BLOCK_NODES = 256          # a tile compares so many members of a bucket with as many others, about
 # Sketches of a pair at the threshold agree in 0.85 of the places on average, with a deviation of
 # sqrt(0.85 * 0.15 / 168) = 0.0275; six deviations below that nothing is lost.
 LEAST_AGREE = int(COORDINATES * (PERCENT / 100 - 6 * 0.0275))
@@ -160,56 +161,98 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets are linked; ``texts`` has (node, text)."""
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(one, "a").join(two, "b").filter(texts_linked("text_a", "text_b")).select("a", "b")
+    return pairs.hint("merge").join(one, "a").hint("merge").join(two, "b").filter(
+        texts_linked("text_a", "text_b")).select("a", "b")
 
 
-def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within each run of rows with equal (bucket, i, j).
-
-    Rows come sorted by that key; a run that a batch cuts is carried over. Columns: bucket, i, j, block,
-    node, label, marks.
-    """
+def _runs(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, bounds of the runs with equal ``key``) with whole runs only; rows come sorted by the key."""
     rest: pa.Table | None = None
 
-    def runs(t: pa.Table, last: bool) -> tuple[list[pa.RecordBatch], pa.Table | None]:
-        key = np.stack([t.column(k).to_numpy() for k in ("bucket", "i", "j")])
-        cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
-        bounds = np.concatenate([[0], cut, [t.num_rows] if last else []]).astype(np.int64)
-        keep = None if last else t.slice(bounds[-1])
-        node, label, block = (t.column(k).to_numpy() for k in ("node", "label", "block"))
-        marks = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-        left, right = [], []
-        sizes = np.diff(bounds)
-        two = bounds[:-1][sizes == 2]
-        if len(two):
-            ok = (label[two] != label[two + 1]) & ((marks[two] == marks[two + 1]).sum(axis=1) >= LEAST_AGREE)
-            left.append(node[two[ok]])
-            right.append(node[two[ok] + 1])
-        for p, q in zip(bounds[:-1][sizes > 2], bounds[1:][sizes > 2]):
-            lab, mark, blk = label[p:q], marks[p:q], block[p:q]
-            i, j = key[1, p], key[2, p]
-            for r in range(q - p):
-                other = (lab != lab[r]) & (np.arange(q - p) > r) if i == j else \
-                    (lab != lab[r]) & (blk == j) & (blk[r] == i)
-                at = np.flatnonzero(other)
-                at = at[(mark[at] == mark[r]).sum(axis=1) >= LEAST_AGREE]
-                left.append(np.full(len(at), node[p + r]))
-                right.append(node[p + at])
-        if not left:
-            return [], keep
-        x, y = np.concatenate(left), np.concatenate(right)
-        return [pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))],
-                                           names=["a", "b"])], keep
+    def bounds_of(t: pa.Table) -> np.ndarray:
+        k = np.stack([t.column(c).to_numpy() for c in key])
+        return np.concatenate([[0], np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1, [t.num_rows]]).astype(np.int64)
 
     for batch in batches:
         t = pa.Table.from_batches([batch])
-        if rest is not None and rest.num_rows:
-            t = pa.concat_tables([rest, t])
-        if t.num_rows:
-            out, rest = runs(t, False)
-            yield from out
-    if rest is not None and rest.num_rows:
-        yield from runs(rest, True)[0]
+        t = pa.concat_tables([rest, t]) if rest is not None else t
+        if not t.num_rows:
+            continue
+        bounds = bounds_of(t)
+        rest = t.slice(bounds[-2])
+        if len(bounds) > 2:
+            yield t.slice(0, bounds[-2]).combine_chunks(), bounds[:-1]
+    if rest is not None:
+        yield rest.combine_chunks(), bounds_of(rest)
+
+
+_TILE = ("bucket", "i", "j")
+
+
+def _close_in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each tile's members that have a close one of another component in it, with those after them.
+
+    A pair is given in one of the buckets it shares, the one with the least hash.
+    """
+    for t, bounds in _runs(batches, _TILE):
+        bucket, i, j = (t.column(c).to_numpy() for c in _TILE)
+        node, label, block = (t.column(c).to_numpy() for c in ("node", "label", "block"))
+        marks = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        at, partners = [], []
+        for p, q in zip(bounds[:-1], bounds[1:]):
+            met: dict[int, list[int]] = {}
+            for r in range(p, q - 1):
+                other = np.flatnonzero(label[r + 1:q] != label[r]) + r + 1
+                if i[p] != j[p]:
+                    other = other[block[other] != block[r]]
+                if not len(other):
+                    continue
+                other = other[(marks[other] == marks[r]).sum(axis=1) >= LEAST_AGREE]
+                if len(other):
+                    common = np.where(bands[other] == bands[r], bands[other], np.iinfo(np.int64).max).min(axis=1)
+                    other = other[common == bucket[p]]
+                if len(other):
+                    met[r] = node[other].tolist()
+                    for o in other.tolist():
+                        met.setdefault(o, [])
+            at += met
+            partners += met.values()
+        rows = np.array(at, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v[rows]) for v in (bucket, i, j, node, label)] + [pa.array(partners, pa.list_(pa.int64()))],
+            names=[*_TILE, "node", "label", "partners"])
+
+
+def _linked_in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of a tile that join components; a pair that earlier links have joined is not tested."""
+    for t, bounds in _runs(batches, _TILE):
+        node, label = t.column("node").to_numpy(), t.column("label").to_numpy()
+        partners = t.column("partners").to_pylist()
+        texts = t.column("text").combine_chunks()
+        found = []
+        for p, q in zip(bounds[:-1], bounds[1:]):
+            sets = []
+            for _, _, data, off in blocks(texts.slice(p, q - p)):
+                values, cut = shingle_sets(data, off)
+                sets += [values[x:y] for x, y in zip(cut[:-1], cut[1:])]
+            place = {n: k for k, n in enumerate(node[p:q].tolist())}
+            up = {x: x for x in label[p:q].tolist()}
+
+            def top(x: int) -> int:
+                while up[x] != x:
+                    up[x] = up[up[x]]
+                    x = up[x]
+                return x
+
+            for k, mine in enumerate(partners[p:q]):
+                for n in mine:
+                    x, y = top(int(label[p + k])), top(int(label[p + place[n]]))
+                    if x != y and linked(sets[k], sets[place[n]]):
+                        up[max(x, y)] = min(x, y)
+                        found.append((int(node[p + k]), n))
+        a, b = zip(*found) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -243,6 +286,35 @@ def _labelled(nodes: DataFrame, labels: DataFrame, column: str) -> DataFrame:
         "label", F.coalesce("label", F.col(column)))
 
 
+def _links_between(shared: DataFrame, nodes: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """All links (a, b) that are needed to join the components of nodes that share buckets."""
+    known = _labelled(shared, labels, "node")
+    mixed = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    parts = F.ceil(F.col("size") / BLOCK_NODES).cast("int")
+    members = (known.join(mixed.select("bucket"), "bucket").withColumn("parts", parts)
+               .withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int"))
+               .join(nodes.select("node", "bands", "marks"), "node")
+               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+               .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                       "block", "node", "label", "bands", "marks"))
+    close = members.repartition(*_TILE).sortWithinPartitions(*_TILE).mapInArrow(
+        _close_in_tiles, "bucket long, i int, j int, node long, label long, partners array<long>")
+    return (stage_table(close, "near-close").hint("merge").join(texts, "node")
+            .repartition(*_TILE).sortWithinPartitions(*_TILE)
+            .select(*_TILE, "node", "label", "partners", "text").mapInArrow(_linked_in_tiles, "a long, b long"))
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links between nodes, as (node, label); nodes without a label have their own."""
+    ends = links
+    for side in ("a", "b"):
+        ends = _labelled(ends, labels, side).drop(side).withColumnRenamed("label", side)
+    upper = components(ends).toDF("low", "label")
+    low = labels.toDF("node", "low").unionByName(upper.select(F.col("low").alias("node"), "low")).distinct()
+    return stage_table(_labelled(low, upper, "low").select("node", "label").groupBy("node").agg(
+        F.min("label").alias("label")), "near-labels")
+
+
 def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row: the smallest id that links lead to.
 
@@ -261,9 +333,10 @@ def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     full = member.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     shared = stage_table(member.join(full, "bucket"), "near-buckets")
     needed = shared.select("node").distinct()
-    texts = stage_table(rows.join(needed, rows["id"] == needed["node"]).groupBy("node").agg(
-        F.first("text").alias("text")) if _repeats(sketches) else
-        rows.join(needed, rows["id"] == needed["node"]).select("node", "text"), "near-texts")
+    texts = rows.join(needed.hint("merge"), rows["id"] == needed["node"]).select("node", "text")
+    if _repeats(sketches):
+        texts = texts.groupBy("node").agg(F.first("text").alias("text"))
+    texts = stage_table(texts, "near-texts")
     marks = nodes.select("node", "marks")
 
     weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
@@ -271,30 +344,12 @@ def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("best"))
     star = shared.join(pivots, "bucket").select("node", (-F.col("best.minus")).alias("pivot")).filter("node <> pivot")
     star = star.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-    likely = star.join(marks.toDF("a", "marks_a"), "a").join(marks.toDF("b", "marks_b"), "b").filter(
-        sketches_agree("marks_a", "marks_b")).select("a", "b")
-    tested = stage_table(likely, "near-pairs")
-    labels = components(_verified(tested, texts))
+    likely = stage_table(star.join(marks.toDF("a", "marks_a"), "a").join(marks.toDF("b", "marks_b"), "b").filter(
+        sketches_agree("marks_a", "marks_b")).select("a", "b"), "near-pairs")
+    labels = components(_verified(likely, texts))
+    labels = _joined(labels, _links_between(shared, nodes, texts, labels))
 
-    known = _labelled(shared, labels, "node")
-    mixed = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    parts = F.ceil(F.col("size") / BLOCK_NODES).cast("int")
-    open_ = (known.join(mixed.select("bucket"), "bucket").withColumn("parts", parts)
-             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int"))
-             .join(marks, "node")
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     "block", "node", "label", "marks"))
-    pairs = (open_.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-             .mapInArrow(_close_pairs, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti"))
-    more = _verified(stage_table(pairs, "near-pairs"), texts)
-    ends = more
-    for side in ("a", "b"):
-        ends = _labelled(ends, labels, side).drop(side).withColumnRenamed("label", side)
-    upper = components(ends)
-    group = nodes.select(*same, "node")
-    group = _labelled(group, labels, "node").withColumnRenamed("label", "low")
-    group = _labelled(group, upper, "low").select(*same, F.col("label").alias("component"))
+    group = _labelled(nodes.select(*same, "node"), labels, "node").select(*same, F.col("label").alias("component"))
     out = sketches.select("id", *same).join(group, same, "left")
     return out.select(
         F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
