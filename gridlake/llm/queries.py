@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import arrow_tokens, decontaminate, language, near_dedup, packing, quality, toxicity
+from gridlake.llm import (
+    arrow_tokens, decontaminate, language, near_dedup, packing, quality, topk, toxicity, urls, warc,
+)
 from gridlake.llm.shared import ship_package, split_of
 
 END_ID = 2          # ends every document's ids
@@ -42,6 +44,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+RULES = (      # host, path, verdict
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+URL_SQL = """
+WITH parts AS (
+  SELECT page_id, CASE WHEN url IS NULL OR instr(url, '://') = 0 THEN '' ELSE substr(url, instr(url, '://') + 3) END AS tail
+  FROM pages
+), hosts AS (
+  SELECT page_id, translate(regexp_extract(tail, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts
+), rules(rhost, rpath, verdict) AS (VALUES """ + ", ".join(str(r) for r in RULES) + """),
+fits AS (
+  SELECT page_id, max_by(rhost || rpath, length(rhost || rpath)) AS rule, max_by(verdict, length(rhost || rpath)) AS verdict
+  FROM hosts, rules
+  WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY page_id
+)
+SELECT page_id, host, path, fits.rule AS rule, coalesce(fits.verdict, 'allow') AS verdict
+FROM hosts LEFT JOIN fits USING (page_id)
+"""
+
+
+@query("op1_url_filter", URL_SQL)
+def op1_url_filter(spark, sf_dir):
+    rules = spark.createDataFrame(list(RULES), "host string, path string, verdict string")
+    return urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
 @query("op2_quality")
 def op2_quality(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -50,6 +86,43 @@ def op2_quality(spark, sf_dir):
     return quality.score(docs, model, keep={"doc_id": F.col("doc_id"), "held_out": held_out})
 
 
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages
+), g AS (SELECT digest, max(page_id) AS original FROM p WHERE n >= 1000 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN original <> page_id THEN original END AS refers_to
+FROM p LEFT JOIN g USING (digest)
+"""
+
+
+@query("op3_warc", WARC_SQL)
+def op3_warc(spark, sf_dir):
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
+TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 5
+"""
+
+
+@query("op4_top_k", TOP_SQL)
+def op4_top_k(spark, sf_dir):
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query("op5_toxicity")
 def op5_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
