@@ -9,20 +9,28 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A table is broadcast only when its row count is known to stay at or below this. The widest table
-# broadcast here has six 8-byte columns, so one million rows stay near 50 MB.
-BROADCAST_ROWS = 1_000_000
+# A table is hinted as broadcast only if a bound of its rows, times the bytes of a row, stays below this.
+BROADCAST_BYTES = 64 << 20
+
+
+def row_bytes(df: DataFrame) -> int | None:
+    """Bytes of a row of fixed-size columns; None if a column's values can be of any length."""
+    sizes = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4,
+             "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+    kinds = [sizes.get(t) for _, t in df.dtypes]
+    return None if None in kinds else 8 + 8 * len(kinds)
 
 
 def broadcast_within(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Hint a broadcast when ``df`` is known to be small; otherwise leave the join to the optimizer.
+    """Hint a broadcast when parameters bound ``df`` to few bytes; otherwise leave the join to Spark.
 
-    ``rows`` is an upper bound the caller derived from parameters (a grid size, an axis length).
-    Without one, at most ``BROADCAST_ROWS + 1`` rows are counted to find out.
+    ``rows`` is an upper bound that follows from parameters (a grid size, an axis length). Nothing is
+    counted: without a bound the optimizer, and adaptive execution once it knows sizes, decide.
     """
-    if rows is None:
-        rows = df.limit(BROADCAST_ROWS + 1).count()
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    width = row_bytes(df)
+    if rows is None or width is None or rows * width > BROADCAST_BYTES:
+        return df
+    return F.broadcast(df)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -21,5 +21,5 @@ def merge_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
 
 def with_dimension(df: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str = "inner",
                    rows: int | None = None) -> DataFrame:
-    """Add the columns of a static table. It is broadcast when its size is known to allow that."""
+    """Add the columns of a static table. ``rows`` bounds its length, so that it may be broadcast."""
     return df.join(broadcast_within(dimension, rows), list(keys), how)

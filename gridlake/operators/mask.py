@@ -36,7 +36,7 @@ def polygon_mask(cells: DataFrame, edges: DataFrame, band: float = 1.0, key: str
     )
     # A cell whose band no edge touches keeps its row, with nothing to count.
     return (
-        c.join(broadcast_within(e), "_band", "left")
+        c.join(e, "_band", "left")
         .groupBy(key, "poly")
         .agg((F.count_if(crosses) % 2 == 1).alias("_odd"), F.bool_or(on_edge).alias("_edge"))
         .groupBy(key)

@@ -198,19 +198,22 @@ def inverse_remap(df: DataFrame, nside: int, nlat: int, nlon: int, **kwargs) ->
 # --- other grids --------------------------------------------------------------------------------
 
 def regrid_nearest(df: DataFrame, target_lats: DataFrame, target_lons: DataFrame, value: str = "value",
-                   source_lats: DataFrame | None = None, source_lons: DataFrame | None = None) -> DataFrame:
+                   source_lats: DataFrame | None = None, source_lons: DataFrame | None = None,
+                   rows: tuple[int, int] | None = None) -> DataFrame:
     """Each target (lat, lon) takes the nearest source latitude and longitude, axis by axis.
 
     Targets outside the source axes are missing. The axes are searched, not the field: its rows meet
-    the two maps by equality, and those no target needs go before anything is shuffled.
+    the two maps by equality, and those no target needs go before anything is shuffled. ``rows`` bounds
+    the numbers of distinct target latitudes and longitudes, where parameters give them.
     """
     lat = axis_map(df.select("lat") if source_lats is None else source_lats, target_lats, "lat", "nearest")
     lon = axis_map(df.select("lon") if source_lons is None else source_lons, target_lons, "lon", "nearest")
     # A map has at most one row per target label, so the target axes bound its size.
+    n_lat, n_lon = rows or (None, None)
     lat = broadcast_within(
-        lat.select(F.col("lat").alias("_lat"), F.col("src").alias("_slat"), F.col("inside").alias("_ilat")), target_lats.count())
+        lat.select(F.col("lat").alias("_lat"), F.col("src").alias("_slat"), F.col("inside").alias("_ilat")), n_lat)
     lon = broadcast_within(
-        lon.select(F.col("lon").alias("_lon"), F.col("src").alias("_slon"), F.col("inside").alias("_ilon")), target_lons.count())
+        lon.select(F.col("lon").alias("_lon"), F.col("src").alias("_slon"), F.col("inside").alias("_ilon")), n_lon)
     taken = df.join(lat, F.col("lat") == F.col("_slat")).join(lon, F.col("lon") == F.col("_slon"))
     new = {"lat": F.col("_lat"), "lon": F.col("_lon"),
            value: F.when(F.col("_ilat") & F.col("_ilon"), F.col(value))}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.operators.regrid import remap_hpx_to_ll
-from gridlake.operators.select import select_channels, select_times, time_slice
+from gridlake.operators.select import select_channels, select_times, select_times_from, time_slice
 
 # Roles of a training store and the coordinates that order its cells (fixed values).
 ROLES = ("inputs", "targets", "constants")
@@ -34,13 +34,15 @@ def stack_columns(df: DataFrame, keys: Sequence[str], variables: Sequence[str],
 
 
 def append_channels(stores: Sequence[tuple[DataFrame, Sequence[str]]], times=None, strict: bool = True) -> DataFrame:
-    """Take channels from several stores and append them; ``times`` is (start, end), a list, or None."""
+    """Take channels from several stores and append them; ``times`` is (start, end), a list, a table of times, or None."""
     out = None
     offset = 0
     for df, channels in stores:
         part = select_channels(df, channels, strict=strict)
         if times is not None and "time" in df.columns:
-            part = time_slice(part, *times) if isinstance(times, tuple) else select_times(part, times, strict=strict)
+            part = (time_slice(part, *times) if isinstance(times, tuple)
+                    else select_times_from(part, times, strict=strict) if isinstance(times, DataFrame)
+                    else select_times(part, times, strict=strict))
         order = F.array(*[F.lit(c) for c in channels])
         part = part.withColumn("channel_idx", (F.array_position(order, F.col("channel")) - 1 + offset).cast("int"))
         offset += len(channels)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlake.cluster import broadcast_within
 from gridlake.operators.spine import ntz
 
 # Columns that older stores carry beside the variable (fixed values).
@@ -31,19 +32,24 @@ def time_slice(df: DataFrame, start=None, end=None, time: str = "time") -> DataF
 
 def select_times(df: DataFrame, times: Sequence[str], time: str = "time", strict: bool = True) -> DataFrame:
     """Rows at exactly the given times. With ``strict``, a time without any row is an error."""
-    chosen = df.filter(F.col(time).isin([ntz(t) for t in times]))
-    if strict:
-        _require(chosen, time, [ntz(t) for t in times], times)
-    return chosen
+    labels = df.sparkSession.createDataFrame([(str(t),) for t in times], f"`{time}` string")
+    labels = labels.select(F.col(time).cast("timestamp_ntz").alias(time))
+    between = time_slice(df, min(map(str, times)), max(map(str, times)), time) if times else df
+    return select_times_from(between, labels, time, strict, rows=len(times))
 
 
-def select_times_from(df: DataFrame, times: DataFrame, time: str = "time", strict: bool = True) -> DataFrame:
-    """The same with the times in a table."""
+def select_times_from(df: DataFrame, times: DataFrame, time: str = "time", strict: bool = True,
+                      rows: int | None = None) -> DataFrame:
+    """The same with the times in a table; ``rows`` bounds its length.
+
+    The plan is the same for any number of times. The check is one join of the times with the field's.
+    """
+    labels = times.select(time)
     if strict:
-        absent = times.select(time).join(df.select(time), time, "left_anti").limit(1).collect()
+        absent = [str(r[0]) for r in labels.join(df.select(time).distinct(), time, "left_anti").orderBy(time).take(20)]
         if absent:
-            raise MissingLabel(f"{time} not in field: {absent[0][0]}")
-    return df.join(times.select(time), time, "left_semi")
+            raise MissingLabel(f"{time} not in field: {absent}")
+    return df.join(broadcast_within(labels, rows), time, "left_semi")
 
 
 def _require(df: DataFrame, column: str, labels: Sequence[Column], names: Sequence) -> None:
@@ -61,8 +67,15 @@ def select_level(df: DataFrame, level: float, column: str = "level") -> DataFram
     return df.filter(F.col(column) == F.lit(level)).drop(column)
 
 
-def drop_constant_time(df: DataFrame, times: Sequence[str], time: str = "time", strict: bool = True) -> DataFrame:
-    """Select the requested times; a single one means a field that does not change in time."""
+def drop_constant_time(df: DataFrame, times: Sequence[str] | DataFrame | None = None, time: str = "time",
+                       strict: bool = True) -> DataFrame:
+    """Select the requested times; a single one means a field that does not change in time.
+
+    Without times that one is ``CONSTANT_TIME``; a table of times keeps its time.
+    """
+    if isinstance(times, DataFrame):
+        return select_times_from(df, times, time, strict)
+    times = [CONSTANT_TIME] if times is None else times
     chosen = select_times(df, times, time, strict)
     return chosen.drop(time) if len(times) == 1 else chosen
 

@@ -27,10 +27,10 @@ def _over_trailing_rows(df: DataFrame, keys: Sequence[str], time: str, n: int, s
     """
     if n < 1:
         raise ValueError(f"window of {n} rows")
-    if step is not None:
+    if step is not None:        # the caller's word that the axis is regular
         placed = df.withColumn("_i", F.floor(epoch_seconds(F.col(time)) / F.lit(freq_seconds(step))).cast("bigint"))
     else:
-        placed = df.join(broadcast_within(stage_table(axis_positions(df, time, "_i"), "axis")), time)
+        placed = df.join(stage_table(axis_positions(df, time, "_i"), "axis"), time)
     size = max(n, ROLLING_BLOCK)
     own = F.floor(F.col("_i") / F.lit(size)).cast("bigint")
     tail = F.pmod(F.col("_i"), F.lit(size)) > size - n
@@ -66,13 +66,21 @@ def trailing_mean(df: DataFrame, n: int, keys: Sequence[str] = ("cell",), time:
 
 
 def trailing_mean_over(df: DataFrame, window: str, dt: str, **kwargs) -> DataFrame:
-    """``trailing_mean`` with the window given as a length: ``"2D"`` at ``"3h"`` is 16 steps."""
-    return trailing_mean(df, window_rows(window, dt), step=dt, **kwargs)
+    """``trailing_mean`` with the window given as a length: ``"2D"`` at ``"3h"`` is 16 places of the axis.
+
+    The places are the field's distinct times, whatever lies between them; ``step`` promises that they
+    are regular and saves numbering them.
+    """
+    return trailing_mean(df, window_rows(window, dt), **kwargs)
 
 
 def interpolate_time(df: DataFrame, keys: Sequence[str] = ("cell",), time: str = "time",
                      value: str = "value", block: Column | None = None) -> DataFrame:
-    """Fill gaps linearly in time between the nearest valid neighbours; ends stay missing."""
+    """Fill gaps linearly in time between the nearest valid neighbours; ends stay missing.
+
+    ``block`` cuts each series where a task should end (a calendar year by default; a month or a day of
+    the time for series at steps of minutes or seconds). It changes no value.
+    """
     known = df.withColumn("_at", F.when(F.col(value).isNotNull(), F.col(time)))
     near = with_valid_neighbours(
         known, keys, time, ["_at", value], year_block(F.col(time)) if block is None else block)
@@ -88,9 +96,9 @@ def fill_constant(df: DataFrame, constant: float, value: str = "value") -> DataF
 
 
 def impute(df: DataFrame, constant: float, keys: Sequence[str] = ("cell",), time: str = "time",
-           value: str = "value") -> DataFrame:
+           value: str = "value", block: Column | None = None) -> DataFrame:
     """Interpolate in time, then fill what is left with a constant."""
-    return fill_constant(interpolate_time(df, keys, time, value), constant, value)
+    return fill_constant(interpolate_time(df, keys, time, value, block), constant, value)
 
 
 def _take_from(df: DataFrame, mapping: DataFrame, time: str, value: str, rows: int | None) -> DataFrame:
@@ -105,8 +113,7 @@ def _take_from(df: DataFrame, mapping: DataFrame, time: str, value: str, rows: i
 
 def _along_time(df, spine, how, time, value, source_times, rows):
     times = df.select(time) if source_times is None else source_times
-    return _take_from(df, axis_map(times, spine, time, how), time, value,
-                      spine.count() if rows is None else rows)
+    return _take_from(df, axis_map(times, spine, time, how), time, value, rows)
 
 
 def reindex_ffill(df: DataFrame, spine: DataFrame, time: str = "time", value: str = "value",
@@ -135,13 +142,17 @@ def sort_time(df: DataFrame, time: str = "time", keys: Sequence[str] = ()) -> Da
 
 
 def compare_time_axes(df: DataFrame, spine: DataFrame, time: str = "time") -> DataFrame:
-    """One row: hours only in the field, hours only in the spine, and whether the axes are the same."""
-    left = df.select(truncate_hour(F.col(time)).alias("_h")).distinct().withColumn("_l", F.lit(1))
-    right = spine.select(truncate_hour(F.col(time)).alias("_h")).distinct().withColumn("_r", F.lit(1))
-    return left.join(right, "_h", "full_outer").agg(
+    """One row: hours only in the field, hours only in the spine, and whether the axes are the same.
+
+    They are the same if they have the same hours and each hour stands for one label on either side.
+    """
+    hours = lambda d, name: d.select(F.col(time).alias("_t")).distinct().groupBy(
+        truncate_hour(F.col("_t")).alias("_h")).agg(F.count(F.lit(1)).alias(name))
+    return hours(df, "_l").join(hours(spine, "_r"), "_h", "full_outer").agg(
         F.count_if(F.col("_r").isNull()).alias("n_only_field"),
         F.count_if(F.col("_l").isNull()).alias("n_only_spine"),
-    ).withColumn("same", (F.col("n_only_field") == 0) & (F.col("n_only_spine") == 0))
+        F.coalesce(F.bool_and(F.coalesce((F.col("_l") == 1) & (F.col("_r") == 1), F.lit(False))), F.lit(True)).alias("same"),
+    )
 
 
 def same_time_axis(df: DataFrame, spine: DataFrame, time: str = "time") -> bool:
@@ -158,7 +169,7 @@ def align_to_axis(df: DataFrame, spine: DataFrame, time: str = "time", value: st
     times = stage_table(df.select(time).distinct(), "times")
     if same_time_axis(times, spine, time):
         labels = spine.select(F.col(time).alias("_target"), truncate_hour(F.col(time)).alias("_h"))
-        return df.join(broadcast_within(labels), truncate_hour(F.col(time)) == F.col("_h")).select(*[
+        return df.join(labels, truncate_hour(F.col(time)) == F.col("_h")).select(*[
             F.col("_target").alias(time) if c == time else F.col(c) for c in df.columns
         ])
     return reindex_ffill(df, spine, time, value, source_times=times)

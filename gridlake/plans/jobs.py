@@ -1,7 +1,8 @@
 """The stages of a training-data build, each a composition of operators.
 
-A stage takes fields and parameters and returns a field; nothing runs until the caller writes it.
-Where a stage is read more than once by later ones, ``prepare_training_set`` writes it in between.
+A stage takes fields and parameters and returns a field. Stages that must look at their input first (time
+axes, strict selections, tables that are read twice) run small jobs at once; the field itself is computed
+when the caller writes it. Where a stage is read more than once by later ones, ``prepare_training_set`` writes it in between.
 """
 
 from __future__ import annotations
@@ -48,7 +49,8 @@ class IndexGrid:
 
 
 def process_satellite(cells: DataFrame, listing: DataFrame, spine: DataFrame, target_lats: DataFrame,
-                      target_lons: DataFrame, grid: IndexGrid = IndexGrid()) -> DataFrame:
+                      target_lons: DataFrame, grid: IndexGrid = IndexGrid(),
+                      rows: tuple[int, int] | None = None) -> DataFrame:
     """Granule cells ``(path, y, x, value)`` to the target grid and times: ``(time, lat, lon, value)``.
 
     Only granules dated on a target time are used. Then nearest grid cell, then nearest time. The
@@ -56,16 +58,17 @@ def process_satellite(cells: DataFrame, listing: DataFrame, spine: DataFrame, ta
     """
     dated = gr.time_from_filename(gr.list_granules(listing))
     wanted = stage_table(gr.granules_in_range(dated, spine).select("path", "time"), "granules")
-    found = cells.join(broadcast_within(wanted), "path").select("time", "y", "x", "value")
+    found = cells.join(wanted, "path").select("time", "y", "x", "value")
     placed = grid.coords(found).select("time", "lat", "lon", "value")
     lats, lons = grid.axes(cells.sparkSession)
-    on_grid = regrid.regrid_nearest(placed, target_lats, target_lons, source_lats=lats, source_lons=lons)
+    on_grid = regrid.regrid_nearest(placed, target_lats, target_lons, source_lats=lats, source_lons=lons, rows=rows)
     return temporal.nearest_time(on_grid, spine, source_times=wanted.select("time"))
 
 
-def impute_job(df: DataFrame, constant: float, start=None, end=None, keys: Sequence[str] = LL_KEYS) -> DataFrame:
-    """Slice, interpolate gaps in time, fill the rest with a constant."""
-    return temporal.impute(select.time_slice(df, start, end), constant, keys)
+def impute_job(df: DataFrame, constant: float, start=None, end=None, keys: Sequence[str] = LL_KEYS,
+               block: Column | None = None) -> DataFrame:
+    """Slice, interpolate gaps in time, fill the rest with a constant. ``block`` as of ``interpolate_time``."""
+    return temporal.impute(select.time_slice(df, start, end), constant, keys, block=block)
 
 
 def impute_ocean_job(df: DataFrame, constant: float, start=None, end=None) -> DataFrame:
@@ -82,10 +85,13 @@ def derive_q2m(sp: DataFrame, td: DataFrame, start=None, end=None, keys: Sequenc
     )
 
 
-def accumulate_and_select(df: DataFrame, times: Sequence[str], level: float | None = None,
+def accumulate_and_select(df: DataFrame, times: Sequence[str] | DataFrame | None = None, level: float | None = None,
                           accumulation_period: int | None = None, step: str | None = None,
                           keys: Sequence[str] = LL_KEYS, strict: bool = True) -> DataFrame:
-    """Pick a level, accumulate over the trailing steps, then select the requested times."""
+    """Pick a level, accumulate over the trailing steps, then select the requested times.
+
+    ``times`` is a list or a table of times; left out, the field is one that does not change in time.
+    """
     if level is not None:
         df = select.select_level(df, level)
     if accumulation_period is not None:
@@ -180,7 +186,10 @@ def pack_training(store: DataFrame, nside: int, unique: bool = False) -> DataFra
 
 def merge_training(stores: Mapping[str, Sequence[tuple[DataFrame, Sequence[str]]]], times=None,
                    strict: bool = True) -> DataFrame:
-    """Chosen channels of several stores as one; ``times`` applies to inputs and targets."""
+    """Chosen channels of several stores as one; ``times`` applies to inputs and targets.
+
+    As a table of times (``time_spine``) it selects exactly these and, if ``strict``, each must be there.
+    """
     out = None
     for role, parts in stores.items():
         within = None if role == "constants" else times
@@ -219,7 +228,7 @@ def prepare_training_set(params: TrainingSet, soil: DataFrame, sp: DataFrame, td
     span = {"start": p.start, "end": p.end}
     soil = impute_ocean_job(soil, p.ocean_fill, **span)
     q2m = derive_q2m(sp, td, **span)
-    sat = process_satellite(cells, listing, spine, ll_cells.select("lat"), ll_cells.select("lon"), p.grid)
+    sat = process_satellite(cells, listing, spine, ll_cells.select("lat"), ll_cells.select("lon"), p.grid, (p.nlat, p.nlon))
     sat = sat.join(broadcast_within(ll_cells, p.nlat * p.nlon), ["lat", "lon"]).select("time", *LL_KEYS, "value")
     sat = stage_table(densify(sat, ll_cells, LL_KEYS, times), "satellite")
     ndvi = impute_job(sat, p.satellite_fill, **span)

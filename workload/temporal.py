@@ -141,3 +141,27 @@ WITH {fx.CLIM_SQL} SELECT cell, time, CAST(dayofyear(time) AS INTEGER) AS doy FR
 """)
 def doy(spark, d):
     return fx.clim(spark, d).select("cell", "time", doy_key(F.col("time")).alias("doy"))
+
+
+@query("D2_trailing_mean_gappy_axis", f"""
+WITH {fx.CLIM_SQL},
+axis AS (SELECT time, row_number() OVER (ORDER BY time) AS i FROM (SELECT DISTINCT time FROM clim))
+SELECT cell, time, {srnd('CASE WHEN count(value) OVER w = 3 THEN avg(value) OVER w END')} AS value
+FROM clim JOIN axis USING (time)
+WINDOW w AS (PARTITION BY cell ORDER BY i RANGE BETWEEN 2 PRECEDING AND CURRENT ROW)
+""")
+def trailing_mean_gappy_axis(spark, d):
+    # Days without any row are no places of the axis: three places, not three days.
+    return by_cell(tm.trailing_mean_over(fx.clim(spark, d).select("cell", "time", "value"), "3D", "D"))
+
+
+@query("D9_subhour_axis", """
+WITH a AS (SELECT DISTINCT ts AS t, date_trunc('hour', ts) AS h FROM events),
+l AS (SELECT h, count(*) AS n FROM a GROUP BY h)
+SELECT 0::BIGINT AS n_only_field, 0::BIGINT AS n_only_spine, max(n) = 1 AS same FROM l
+""")
+def subhour_axis(spark, d):
+    # The spine has the field's own hours; the axes are the same only if no hour has several times.
+    e = fx.table(spark, d, "events").select(F.col("ts").alias("time"))
+    hours = e.select(F.date_trunc("hour", "time").cast("timestamp_ntz").alias("time")).distinct()
+    return tm.compare_time_axes(e, hours)
