@@ -60,7 +60,9 @@ class _Shard:
 
     def _write(self, last: bool) -> None:
         flat = np.concatenate(self.waiting) if self.waiting else np.zeros(0, self.dtype)
-        whole = len(flat) // self.length * self.length
+        # all batches but the last are full, so that a sequence's batch follows from its number
+        step = self.length if last else self.length * BATCH_SEQUENCES
+        whole = len(flat) // step * step
         real = len(flat) if last else whole
         if last and real > whole:
             whole += self.length
