@@ -51,9 +51,7 @@ def _gram_codes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     ok[:, 1] = ok[:, 0] | (b != 0)
     ok[:, 2] = b != 0                                     # no blank inside
     ok[:, 2] &= ok[:, 0] | (c != 0)
-    # a text's run ends with the blank that starts the next one; what lies across it is left out
-    last = bound[1:]
-    ok[last, 1:] = False
+    # the last blank only ends the last text; no other n-gram reaches across texts, as none has a blank inside
     ok[bound[-1]:] = False
     count = np.zeros(n + 1, np.int64)
     np.cumsum(ok.sum(axis=1), out=count[1:])

@@ -2,7 +2,7 @@
 
 Two strings are alike as far as they share subsequences of four letters; a shared subsequence counts by
 DECAY to the power of the span it takes in each string, and spans of up to SPAN symbols count, so that
-letters left out or put in between ("id.i.ot") only weaken a match. Words are the strings. The kernel is
+letters left out or put in between only weaken a match. Words are the strings; signs in them are left out. The kernel is
 used through Nystroem landmarks: chosen words z, the features K(z, z)^(-1/2) k(z, x), and a linear machine
 with squared hinge loss on them. As the kernel is an inner product over subsequences, the machine's decision for a
 word is again a weighted sum over the word's subsequences: the landmarks' weights are added up once into a
@@ -68,7 +68,7 @@ def _symbols(data: np.ndarray, off: np.ndarray):
     that spaced-out letters come together.
     """
     n = len(data)
-    lead = data >= 0xC0                                    # first bytes of longer characters say nothing
+    mute = _FOLD[data] == 0            # signs between letters, and first bytes of longer characters, are left out
     space = SPACE[data]
     edge = np.zeros(n + 1, bool)
     edge[off] = True
@@ -79,12 +79,12 @@ def _symbols(data: np.ndarray, off: np.ndarray):
         return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(len(off), np.int64), np.zeros(0, np.int64)
     first_byte = np.searchsorted(starts, off)
     plain = np.zeros(n + 1, np.int64)
-    np.cumsum(~space & ~lead, out=plain[1:])
+    np.cumsum(~space & ~mute, out=plain[1:])
     size = np.diff(np.append(plain[starts], plain[n]))
     joins = np.zeros(len(starts), bool)
     joins[1:] = (size[1:] == 1) & (size[:-1] == 1)
     joins[first_byte[:-1][np.diff(first_byte) > 0]] = False
-    keep = ~space & ~lead
+    keep = ~space & ~mute
     sym = _FOLD[data[keep]]
     heads = plain[starts][~joins]
     sym = np.insert(sym, heads, 27)
@@ -180,6 +180,17 @@ class ToxicModel:
         return 1.0 / (1.0 + np.exp(-np.clip(f, -30, 30)))
 
 
+def _likelihood_ratio(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
+    """Twice the gain in log-likelihood of a rate for each label over one rate for both, per string."""
+    all_t, all_c = toxic.sum() + 1, clean.sum() + 1
+    rate = (toxic + clean) / (all_t + all_c)
+    out = np.zeros(len(toxic))
+    for seen, n in ((toxic, all_t), (clean, all_c)):
+        for part, expect in ((seen, n * rate), (n - seen, n * (1 - rate))):
+            out += np.where(part > 0, part * np.log(np.maximum(part, 1e-9) / np.maximum(expect, 1e-9)), 0.0)
+    return np.maximum(2 * out, 0.0)
+
+
 def train_machine(strings: list[str], toxic: np.ndarray, clean: np.ndarray, landmarks: int = LANDMARKS,
                   passes: int = 40, penalty: float = 1e-3) -> tuple[np.ndarray, float, tuple[str, ...]]:
     """Landmarks, Nystroem features and the linear machine; returns the subsequence table, bias, landmarks.
@@ -189,7 +200,7 @@ def train_machine(strings: list[str], toxic: np.ndarray, clean: np.ndarray, land
     """
     share_t, share_c = (toxic + 0.5) / (toxic.sum() + 1), (clean + 0.5) / (clean.sum() + 1)
     lift = np.log(share_t / share_c)
-    sure = lift / np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))      # in standard deviations
+    sure = np.sign(lift) * np.sqrt(_likelihood_ratio(toxic, clean))    # in standard deviations
     y = np.where((lift > LEAST_LIFT) & (sure > LEAST_SURE), 1.0, -1.0)
     if not (y > 0).any():
         y[np.argmax(sure)] = 1.0
