@@ -55,7 +55,8 @@ def test_predictions_match_a_plain_version(spark, docs):
         right += r["doc_id"] is not None and r["doc_id"] < 60 and list(KINDS)[r["doc_id"] % 3] == r["lang_pred"]
     assert right == 61
     kept = {r["doc_id"] for r in df.filter(language.accepted(profiles)).collect()}
-    assert {100, 101, 102} & kept == set() and {103, 104, None} <= kept and len(kept) == 63
+    # 103 shares no n-gram with any profile
+    assert {100, 101, 102, 103} & kept == set() and {104, None} <= kept and len(kept) == 62
 
 
 def test_nothing_to_learn_from(spark, docs):
