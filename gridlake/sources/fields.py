@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,10 +40,10 @@ def scan_field(spark: SparkSession, path, variable: str, keys: Sequence, value:
 def scan_union(spark: SparkSession, paths: Sequence[str], keys: Sequence[str], check: bool = False) -> DataFrame:
     """Read many files of one field as one table. Files are matched by column name.
 
-    ``check=True`` makes two rows for one label an error. It aggregates over the key columns of the
+    A column that only some files have is missing in the rows of the others. ``check=True`` makes two rows for one label an error. It aggregates over the key columns of the
     whole field, so it is for newly arrived files rather than for every read.
     """
-    df = spark.read.parquet(*paths)
+    df = spark.read.option("mergeSchema", True).parquet(*paths)
     if check:
         repeated = duplicate_labels(df, keys).limit(1).collect()
         if repeated:
@@ -52,10 +52,13 @@ def scan_union(spark: SparkSession, paths: Sequence[str], keys: Sequence[str], c
 
 
 def concat_fields(fields: Sequence[DataFrame]) -> DataFrame:
-    """Concatenate fields along a coordinate, matching columns by name."""
+    """Concatenate fields along a coordinate, matching columns by name.
+
+    A column that only some fields have is missing in the rows of the others.
+    """
     out = fields[0]
     for field in fields[1:]:
-        out = out.unionByName(field)
+        out = out.unionByName(field, allowMissingColumns=True)
     return out
 
 
@@ -105,13 +108,18 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
-def write_field(df: DataFrame, path: str, overwrite: bool = False, partition_by: Sequence[str] = ()) -> bool:
+def write_field(df: DataFrame | Callable[[], DataFrame], path: str, overwrite: bool = False,
+                partition_by: Sequence[str] = (), spark: SparkSession | None = None) -> bool:
     """Write a field unless a finished one is there; returns whether it wrote.
 
-    The test comes before any work starts. Leftovers of a write that did not finish are replaced.
+    As a function of no arguments ``df`` is only called if there is something to write, so that a stage
+    that looks at its input while it is built (strict selections, staged tables) does no work either; give
+    ``spark`` with it. Leftovers of a write that did not finish are replaced.
     """
-    if is_complete(df.sparkSession, path) and not overwrite:
+    if is_complete(spark or df.sparkSession, path) and not overwrite:
         return False
+    if not isinstance(df, DataFrame):
+        df = df()
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -119,6 +127,18 @@ def write_field(df: DataFrame, path: str, overwrite: bool = False, partition_by:
     return True
 
 
+def run_jobs(spark: SparkSession, jobs: Sequence[Mapping]) -> list[bool]:
+    """Run a list of jobs, each ``{"path": ..., "make": function of no arguments, ...}``, that are not done yet.
+
+    Further entries are options of ``write_field``. Returns which ones wrote.
+    """
+    out = []
+    for job in jobs:
+        options = {k: v for k, v in job.items() if k not in ("path", "make")}
+        out.append(write_field(job["make"], job["path"], spark=spark, **options))
+    return out
+
+
 def layout_by_time(df: DataFrame, time: str = "time", within: Sequence[str] = ()) -> DataFrame:
     """Order for spatial work: consecutive times together, sorted within each partition.
 
@@ -159,6 +179,8 @@ def pack_frames(df: DataFrame, frame: Sequence[str], position: str, value: str =
     )
     n = F.size("_cells")
     ok = F.col("_n") == 1
+    if unique:      # the caller's word is checked where the positions stand side by side
+        ok = ok & (F.size(F.array_distinct(F.transform("_cells", lambda c: c["p"]))) == n)
     if size is not None:
         ok = ok & (n == size)
     return packed.select(

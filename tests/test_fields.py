@@ -73,6 +73,34 @@ def test_skipped_write_does_no_work(spark, field, folder):
     assert src.write_field(failing, path) is False
 
 
+def test_scan_union_keeps_columns_of_some_files(spark, tmp_path):
+    spark.createDataFrame([(1, 2)], "id long, a long").write.parquet(f"{tmp_path}/a")
+    spark.createDataFrame([(3, 4, 5)], "id long, a long, b long").write.parquet(f"{tmp_path}/b")
+    got = src.scan_union(spark, [f"{tmp_path}/a", f"{tmp_path}/b"], ["id"])
+    assert sorted((r["id"], r["a"], r["b"]) for r in got.collect()) == [(1, 2, None), (3, 4, 5)]
+    both = src.concat_fields([spark.read.parquet(f"{tmp_path}/a"), spark.read.parquet(f"{tmp_path}/b")])
+    assert sorted((r["id"], r["b"]) for r in both.collect()) == [(1, None), (3, 5)]
+
+
+def test_jobs_that_are_done_are_not_built(spark, tmp_path):
+    calls = []
+
+    def make():
+        calls.append(1)
+        return spark.range(3)
+
+    jobs = [{"path": f"{tmp_path}/x", "make": make}, {"path": f"{tmp_path}/y", "make": make}]
+    assert src.run_jobs(spark, jobs) == [True, True]
+    assert src.run_jobs(spark, [*jobs, {"path": f"{tmp_path}/x", "make": make, "overwrite": True}]) == [False, False, True]
+    assert len(calls) == 3
+
+
+def test_pack_frames_checks_unique(spark):
+    df = spark.createDataFrame([("f", 0, 1.0), ("f", 0, 2.0), ("f", 1, 3.0)], "frame string, position int, value double")
+    with pytest.raises(Exception, match="not dense"):
+        src.pack_frames(df, ["frame"], "position", unique=True).collect()
+
+
 def test_pack_frames_order_and_density(spark):
     df = spark.createDataFrame([("a", 2, 3.0), ("a", 0, 1.0), ("a", 1, None)], "frame string, position int, value double")
     assert src.pack_frames(df, ["frame"], "position", size=3).first()["values"] == [1.0, None, 3.0]

@@ -220,6 +220,20 @@ def merge(spark, d):
     }, ("1996-01-01", "2000-12-31")))
 
 
+@query("K8_merge_exact_axis", f"""
+WITH {COMPILED_SQL},
+months AS (SELECT unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '2000-12-31', INTERVAL 1 DAY)) AS time),
+chosen AS (SELECT time FROM months WHERE dayofmonth(time) = 1 AND time IN (SELECT time FROM compiled))
+SELECT {STORE_COLUMNS_SQL} FROM (
+  SELECT role, channel, 0 AS channel_idx, time, pix, value FROM compiled WHERE role = 'inputs' AND channel = 'A'
+) m WHERE time IN (SELECT time FROM chosen)
+""")
+def merge_exact_axis(spark, d):
+    store = src.staged(compiled(spark, d), "store")
+    axis = time_spine(spark, "1996-01-01", "2000-12-31", "D").filter(F.dayofmonth("time") == 1)
+    return store_rows(jobs.merge_training({"inputs": [(store, ["A"])]}, axis, strict=False))
+
+
 # --- the whole build ----------------------------------------------------------------------------
 
 BUILD = jobs.TrainingSet(
