@@ -130,7 +130,7 @@ def exact_top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "
                         [pa.array(own[ok]), pa.array(ids[ok]), pa.array(s[ok]),
                          pa.array(np.full(ok.sum(), shard, np.int32))], names=["query_id", "vec_id", "score", "j"])
 
-    lists = (left.join(right, ["dims", "i", "j"]).select("dims", "j", "ids", "numbers", "other_ids", "other_numbers")
+    lists = (left.hint("merge").join(right, ["dims", "i", "j"]).select("dims", "j", "ids", "numbers", "other_ids", "other_numbers")
              .mapInArrow(tile, "query_id long, vec_id long, score long, j int"))
     while shards > FAN:
         lists = _top(lists.withColumn("j", (F.col("j") / FAN).cast("int")), ["j"], k).drop("rank")

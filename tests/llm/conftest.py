@@ -1,12 +1,7 @@
-import os
-import sys
-
 import pytest
 
 from gridlake.llm.shared import ship_package
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 
 @pytest.fixture(scope="session", autouse=True)
 def shipped(spark):

@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gridlake.llm import quality, toxicity
-from samples import invented
+from llm.samples import invented
 
 
 def junk(k):

@@ -3,7 +3,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gridlake.llm import language
-from samples import invented
+from llm.samples import invented
 
 KINDS = {"aa": ("ra", "to", "mi", "lek"), "bb": ("schi", "und", "ver", "keit"), "cc": ("ção", "ñu", "dor", "que")}
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from gridlake.llm import near_dedup as nd
-from samples import invented
+from llm.samples import invented
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = {c: c + 32 for c in range(65, 91)}

@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from gridlake.llm import arrow_tokens, packing, tokens
-from samples import invented
+from llm.samples import invented
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [None, "", " ", "Hello, World! it's 42", "ÉTÉ déjà-vu Straße\u00a0x", "İstanbul ΣΑΣ ς e\u0301 日本 \U0001f600", "<|endoftext|>a <|startoftext|>",
