@@ -8,6 +8,7 @@ table with one row per (series, block), built by an aggregate that combines befo
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,11 +32,13 @@ def with_valid_neighbours(
     nearest valid row of the same series at or before, and at or after, this row; NULL where there
     is none. ``block`` must not decrease along ``order``.
 
+    The rows are exchanged once, by series and block; the table of block ends is taken from the same
+    exchange, so that what comes before is computed once (if ``df`` has no columns but those used here).
     Ahead and back share one sort: the next value is ``lead`` without NULLs. (A frame that reaches to
     the end of its group would be evaluated anew for every row.)
     """
-    seen = df.withColumn("_block", block)
     group = [*keys, "_block"]
+    seen = df.withColumn("_block", block).repartition(*group)
     rows = seen.withColumns({
         n: F.coalesce(F.col(c), _beside(which, c, group, order))
         for c in carry for n, which in ((f"prev_{c}", "lag"), (f"next_{c}", "lead"))
@@ -55,7 +58,10 @@ def with_valid_neighbours(
     for c in carry:
         filled[f"prev_{c}"] = F.coalesce(f"prev_{c}", f"_before_{c}")
         filled[f"next_{c}"] = F.coalesce(f"next_{c}", f"_after_{c}")
-    return rows.join(around, group, "left").withColumns(filled).select(*df.columns, *filled)
+    # Null-safe, so that no filter is derived for one branch alone, which would keep it from the shared exchange.
+    beside = around.withColumnsRenamed({g: f"_of_{g}" for g in group})
+    same = functools.reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group])
+    return rows.join(beside, same, "left").withColumns(filled).select(*df.columns, *filled)
 
 
 def nearest_choice(prev_at: Column, at: Column, next_at: Column, prev, next_) -> Column:

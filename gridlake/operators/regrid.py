@@ -285,7 +285,7 @@ def barycentric_weights(triangles: DataFrame, vertices: DataFrame, targets: Data
     slack = F.lit(-1e-12)
     hit = hit.filter((F.col("w0") >= slack) & (F.col("w1") >= slack) & (F.col("w2") >= slack))
     parts = ["v0", "v1", "v2", "w0", "w1", "w2"]
-    won = hit.groupBy("target").agg(*[F.min_by(c, "tri").alias(c) for c in parts])
+    won = hit.groupBy("target").agg(F.min(F.struct("tri", *parts)).alias("_w")).select("target", "_w.*")
     corner = lambda k: F.struct(F.col(f"v{k}").alias("v"), F.col(f"w{k}").alias("w"))
     return won.select("target", F.lit(3).cast("bigint").alias("n"), F.explode(F.array(corner(0), corner(1), corner(2))).alias("_s")) \
         .select("target", "_s.v", "_s.w", "n")

@@ -49,7 +49,7 @@ def select_times_from(df: DataFrame, times: DataFrame, time: str = "time", stric
         absent = [str(r[0]) for r in labels.join(df.select(time).distinct(), time, "left_anti").orderBy(time).take(20)]
         if absent:
             raise MissingLabel(f"{time} not in field: {absent}")
-    return df.join(broadcast_within(labels, rows), time, "left_semi")
+    return df.join(broadcast_within(labels, rows), time, "left_semi").select(*df.columns)
 
 
 def _require(df: DataFrame, column: str, labels: Sequence[Column], names: Sequence) -> None:

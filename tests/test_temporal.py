@@ -152,3 +152,33 @@ def test_frequencies():
     assert window_rows("2D", "3h") == 16 and window_rows("7h", "2h") == 3
     with pytest.raises(ValueError):
         freq_seconds("3 fortnights")
+
+
+def test_the_field_is_read_once(spark, tmp_path):
+    """Both branches of the gap filling take their rows from one exchange of the field."""
+    spark.range(2000).selectExpr(
+        "id % 7 as cell", "timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, cast(id div 7 as int)) as time",
+        "if(id % 3 = 0, null, double(id)) as value").write.parquet(f"{tmp_path}/f")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = tm.interpolate_time(spark.read.parquet(f"{tmp_path}/f"))
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("ReusedExchange") == 1 and plan.count("FileScan") == 1
+
+
+def test_trailing_mean_counts_places_not_days(spark, field):
+    df = field([(1, f"2024-01-0{d}", float(d)) for d in (1, 2, 3, 5, 6)])
+    got = values(tm.trailing_mean_over(df, "3D", "D"), "time")
+    assert got["2024-01-02T00:00:00"] is None
+    assert got["2024-01-05T00:00:00"] == pytest.approx(10 / 3) and got["2024-01-06T00:00:00"] == pytest.approx(14 / 3)
+
+
+def test_half_hours_are_not_an_hourly_axis(spark, field):
+    df = field([(1, f"2024-01-01T0{h}:{m}", h + (m == "30") / 2) for h in (0, 1, 2) for m in ("00", "30")])
+    spine = spark.sql("select explode(sequence(timestamp_ntz'2024-01-01', timestamp_ntz'2024-01-01 02:00', interval 1 hour)) as time")
+    assert not tm.same_time_axis(df, spine)
+    got = tm.align_to_axis(df, spine)
+    assert got.count() == 3 and list(values(got, "time").values()) == [0.0, 1.0, 2.0]
