@@ -47,6 +47,14 @@ def missing_count(df: DataFrame, value: str = "value") -> DataFrame:
     return df.agg(F.count_if(F.col(value).isNull()).alias("n_missing"))
 
 
+def field_check(df: DataFrame, time: str = "time", value: str = "value") -> DataFrame:
+    """Mean over all cells and missing values per time, and as a row without a time for the whole field.
+
+    One pass and one aggregate: what ``missing_count`` and ``global_mean_series`` tell together.
+    """
+    return df.rollup(time).agg(F.avg(value).alias(value), F.count_if(F.col(value).isNull()).alias("n_missing"))
+
+
 def global_mean_series(df: DataFrame, time: str = "time", value: str = "value") -> DataFrame:
     """Mean over all cells per time, each cell counting the same; missing values are left out."""
     return df.groupBy(time).agg(F.avg(value).alias(value))

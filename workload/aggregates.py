@@ -49,6 +49,14 @@ def series(spark, d):
     return st.global_mean_series(fx.obs(spark, d)).select("time", rnd("value").alias("value"))
 
 
+@query("G6_field_check", f"""
+WITH {fx.OBS_SQL}
+SELECT time, {srnd('avg(value)')} AS value, count(*) - count(value) AS n_missing FROM obs GROUP BY ROLLUP (time)
+""")
+def field_check(spark, d):
+    return st.field_check(fx.obs(spark, d)).select("time", rnd("value").alias("value"), "n_missing")
+
+
 @query("G7_completeness", f"""
 WITH {DAYS_SQL}, {fx.DATED_SQL}
 SELECT (SELECT count(*) FROM dated) AS n_found, (SELECT count(*) FROM days) AS n_expected,
