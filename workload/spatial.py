@@ -203,6 +203,18 @@ def remap_nearest(spark, d):
     return remapped(spark, d, order="nearest-neighbor")
 
 
+@query("E6_remap_constant_field", f"""
+WITH {fx.GRID_SQL}, {CELLS4_SQL}, {ll_weights_sql('clamp')},
+still AS (SELECT lat_idx, lon_idx, avg(value) AS value FROM grid GROUP BY 1, 2)
+SELECT w.pix, CASE WHEN count(w.w * g.value) = max(w.n) THEN {srnd('sum(w.w * g.value)', 5)} END AS value
+FROM still g JOIN w ON w.lat_idx = g.lat_idx AND w.lon_idx = g.lon_idx GROUP BY 1
+""")
+def remap_constant(spark, d):
+    still = fx.grid(spark, d).groupBy("lat_idx", "lon_idx").agg(F.avg("value").alias("value"))
+    out = rg.remap_ll_to_hpx(still, fx.NSIDE, fx.NLAT, fx.NLON, group=())
+    return out.select("pix", rnd("value", 5).alias("value"))
+
+
 def ring_weights_sql(nlat: int, nlon: int, res: float, n: int = fx.NSIDE) -> str:
     """Weights from rings of cells to a lat/lon grid. Ring latitudes are read off the cells themselves."""
     return f"""
