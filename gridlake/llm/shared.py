@@ -62,8 +62,14 @@ def bounded_sample(df: DataFrame, key: Column, limit: int, rows: int, seed: int
     return df.filter(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) < int(1_000_000 * limit / rows))
 
 
+# What a Python worker keeps between tasks. A worker that turns to other work gives the memory back.
+remembered: list[dict] = []
+
+
 def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of whole texts; nulls are empty texts."""
+    for kept in remembered:
+        kept.clear()
     arr = texts.fill_null("").cast(pa.large_string())
     if not len(arr):
         return

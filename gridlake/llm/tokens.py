@@ -17,6 +17,8 @@ import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
+from gridlake.llm.shared import remembered
+
 REMEMBER = 500_000     # words, and pieces, that a worker remembers before it starts anew
 
 # The normaliser and pre-tokenizer for which the words of a text can be encoded one by one.
@@ -97,10 +99,11 @@ def _latin(text: str) -> bool:
 
 
 _encoders: dict[str, Encoder] = {}
+remembered.append(_encoders)
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file; it lives as long as the worker."""
+    """The worker's encoder for a tokenizer file; it lives until the worker turns to other work."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
