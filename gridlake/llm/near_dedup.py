@@ -1,14 +1,15 @@
 """Near-duplicate groups: fast similarity sketches, banding, exact verification, connected components.
 
 A text is the set of its distinct 5-word shingles (words between white space, A-Z lower-cased). Texts with
-the same set are one node. A node's fast similarity sketch has COORDINATES numbers: in round i every shingle
+the same set are one node. A node's fast similarity sketch has n numbers: in round i every shingle
 is thrown into one place by the i-th hash and leaves (i, hash) there if that is smaller; rounds go on until
-no place is empty, and from round COORDINATES on round i throws everything into place i - COORDINATES, so that
+no place is empty, and from round n on round i throws everything into place i - n, so that
 all places do fill. Two sketches agree in a place with probability equal to the sets' similarity, and the
 share of agreeing places is as concentrated as for independent hashes, at the cost of a few rounds only.
 
-BAND_ROWS places make a band; nodes with an equal band share a bucket. At similarity 0.85 two sets share no
-bucket with probability (1 - 0.85**6)**28, below 2 in a million. Links are confirmed on the full sets, in two
+Some places make a band; nodes with an equal band share a bucket. The threshold is a parameter, from which
+the bands are derived (``Likeness``): at it two sets share no bucket with probability MISS at most. At
+similarity 0.85 that are 28 bands of 6 places, at 0.80 34 bands of 5. Links are confirmed on the full sets, in two
 steps that never pair up a whole bucket:
 
 1. Every bucket has a pivot, the member that shares buckets with most others. Its pairs with the other
@@ -22,11 +23,14 @@ A pair inside one component needs no test: its link would change nothing.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -34,18 +38,48 @@ from gridlake.cluster import stage_table
 from gridlake.llm.shared import blocks, mix, word_hashes, words
 
 SHINGLE_WORDS = 5
-PERCENT = 85               # link from 100 * intersection >= PERCENT * union on
-BAND_ROWS, BANDS = 6, 28
-COORDINATES = BAND_ROWS * BANDS
+PERCENT = 85               # link from 100 * intersection >= PERCENT * union on, unless told otherwise
+MISS = 2e-6                # probability that a pair at the threshold shares no band, at most
+MOST_PLACES = 176          # of a sketch
 BLOCK_NODES = 256          # a tile compares so many members of a bucket with as many others, about
-# Sketches of a pair at the threshold agree in 0.85 of the places on average, with a deviation of
-# sqrt(0.85 * 0.15 / 168) = 0.0275; six deviations below that nothing is lost.
-LEAST_AGREE = int(COORDINATES * (PERCENT / 100 - 6 * 0.0275))
 
 _SHINGLE = mix(np.arange(1, SHINGLE_WORDS + 1, dtype=np.uint64)) | np.uint64(1)
-_ROUND = mix(np.arange(1000, 1000 + 2 * COORDINATES, dtype=np.uint64))
-_BAND = mix(np.arange(5000, 5000 + BANDS, dtype=np.uint64))
-_ROW = mix(np.arange(7000, 7000 + BAND_ROWS, dtype=np.uint64)) | np.uint64(1)
+_ROUND = mix(np.arange(1000, 1000 + 2 * MOST_PLACES, dtype=np.uint64))
+_BAND = mix(np.arange(5000, 5000 + MOST_PLACES, dtype=np.uint64))
+_ROW = mix(np.arange(7000, 7000 + MOST_PLACES, dtype=np.uint64)) | np.uint64(1)
+
+
+@dataclass(frozen=True)
+class Likeness:
+    """The similarity in per cent from which on texts are linked, and the sketch that finds such pairs."""
+
+    percent: int = PERCENT
+
+    def __post_init__(self):
+        if not 10 <= self.percent <= 100:
+            raise ValueError(f"percent must lie between 10 and 100, not {self.percent}")
+
+    @functools.cached_property
+    def shape(self) -> tuple[int, int]:
+        """(bands, rows): the longest bands of which as many as MISS asks for make MOST_PLACES at most."""
+        for rows in range(MOST_PLACES, 0, -1):
+            apart = 1 - (self.percent / 100) ** rows
+            bands = math.ceil(math.log(MISS) / math.log(apart)) if 0 < apart < 1 else (1 if apart == 0 else MOST_PLACES + 1)
+            if bands * rows <= MOST_PLACES:
+                return bands, rows
+        raise AssertionError(self.percent)
+
+    @functools.cached_property
+    def places(self) -> int:
+        return self.shape[0] * self.shape[1]
+
+    @functools.cached_property
+    def least_agree(self) -> int:
+        """Six deviations below the mean number of places in which sketches of a pair at the threshold agree."""
+        share = self.percent / 100
+        return int(self.places * (share - 6 * math.sqrt(share * (1 - share) / self.places)))
+
+
 _EMPTY = np.uint64((1 << 64) - 1)
 
 
@@ -73,7 +107,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (np.concatenate(sets) if sets else h[:0]), bounds
 
 
-def sketch(values: np.ndarray, bounds: np.ndarray, size: int = COORDINATES) -> np.ndarray:
+def sketch(values: np.ndarray, bounds: np.ndarray, size: int = Likeness().places) -> np.ndarray:
     """Fast similarity sketch of each set; a row of all-ones for an empty set."""
     n = len(bounds) - 1
     out = np.full(n * size, _EMPTY, np.uint64)
@@ -96,73 +130,79 @@ def sketch(values: np.ndarray, bounds: np.ndarray, size: int = COORDINATES) -> n
     return out.reshape(n, size)
 
 
-def band_hashes(sketches: np.ndarray) -> np.ndarray:
+def band_hashes(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One hash per band and sketch, different between bands."""
-    parts = sketches.reshape(len(sketches), BANDS, BAND_ROWS)
-    return mix((mix(parts) * _ROW).sum(axis=2) ^ _BAND)
+    parts = sketches.reshape(len(sketches), bands, rows)
+    return mix((mix(parts) * _ROW[:rows]).sum(axis=2) ^ _BAND[:bands])
 
 
-def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch_batches(batches: Iterator[pa.RecordBatch], like: Likeness = Likeness()) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, data, off in blocks(batch.column(1)):
             values, bounds = shingle_sets(data, off)
-            got = sketch(values, bounds)
+            got = sketch(values, bounds, like.places)
             size = np.diff(bounds)
             sums = np.zeros((2, len(values) + 1), np.uint64)
             np.cumsum(mix(values), out=sums[0, 1:])
             np.cumsum(mix(values ^ _ROUND[0]), out=sums[1, 1:])
             prints = (sums[:, bounds[1:]] - sums[:, bounds[:-1]]).view(np.int64)
-            bands = band_hashes(got).view(np.int64).ravel()
+            bands = band_hashes(got, *like.shape).view(np.int64).ravel()
             marks = mix(got).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(i, j - i), pa.array(size), pa.array(prints[0]), pa.array(prints[1]),
-                 pa.ListArray.from_arrays(pa.array(np.arange(0, len(bands) + 1, BANDS, dtype=np.int32)), pa.array(bands)),
+                 pa.ListArray.from_arrays(pa.array(np.arange(0, len(bands) + 1, like.shape[0], dtype=np.int32)), pa.array(bands)),
                  pa.array([m.tobytes() for m in marks], pa.binary())],
                 names=["id", "n", "print_a", "print_b", "bands", "marks"])
 
 
-def _agree(a: pa.Array, b: pa.Array) -> np.ndarray:
-    x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, COORDINATES) for v in (a, b))
+def _agree(a: pa.Array, b: pa.Array, places: int) -> np.ndarray:
+    x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, places) for v in (a, b))
     return (x == y).sum(axis=1)
 
 
-@F.arrow_udf(BooleanType())
-def sketches_agree(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array(_agree(a, b) >= LEAST_AGREE)
+def sketches_agree(like: Likeness, one: str, two: str) -> Column:
+    @F.arrow_udf(BooleanType())
+    def agree(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array(_agree(a, b, like.places) >= like.least_agree)
 
+    return agree(one, two)
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sorted sets are at least PERCENT alike."""
+
+def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether two sorted sets are at least ``percent`` alike."""
     small, large = min(len(a), len(b)), max(len(a), len(b))
-    if 100 * small < PERCENT * large:
+    if 100 * small < percent * large:
         return False
     both = np.sort(np.concatenate([a, b]))
     common = int((both[1:] == both[:-1]).sum())
-    return 100 * common >= PERCENT * (len(a) + len(b) - common)
+    return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-@F.arrow_udf(BooleanType())
-def texts_linked(a: pa.Array, b: pa.Array) -> pa.Array:
+def texts_linked(like: Likeness, one: str, two: str) -> Column:
     """Exact check on the full shingle sets of two texts."""
-    out = []
-    for k in range(0, len(a), 256):
-        sides = []
-        for arr in (a.slice(k, 256), b.slice(k, 256)):
-            mine = []
-            for _, _, data, off in blocks(arr):
-                values, bounds = shingle_sets(data, off)
-                mine += [values[p:q] for p, q in zip(bounds[:-1], bounds[1:])]
-            sides.append(mine)
-        out += [linked(x, y) for x, y in zip(*sides)]
-    return pa.array(out, pa.bool_())
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    @F.arrow_udf(BooleanType())
+    def check(a: pa.Array, b: pa.Array) -> pa.Array:
+        out = []
+        for k in range(0, len(a), 256):
+            sides = []
+            for arr in (a.slice(k, 256), b.slice(k, 256)):
+                mine = []
+                for _, _, data, off in blocks(arr):
+                    values, bounds = shingle_sets(data, off)
+                    mine += [values[p:q] for p, q in zip(bounds[:-1], bounds[1:])]
+                sides.append(mine)
+            out += [linked(x, y, like.percent) for x, y in zip(*sides)]
+        return pa.array(out, pa.bool_())
+
+    return check(one, two)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets are linked; ``texts`` has (node, text)."""
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return pairs.hint("merge").join(one, "a").hint("merge").join(two, "b").filter(
-        texts_linked("text_a", "text_b")).select("a", "b")
+        texts_linked(like, "text_a", "text_b")).select("a", "b")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -189,7 +229,7 @@ def _runs(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[t
 _TILE = ("bucket", "i", "j")
 
 
-def _close_in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _close_in_tiles(batches: Iterator[pa.RecordBatch], like: Likeness) -> Iterator[pa.RecordBatch]:
     """Each tile's members that have a close one of another component in it, with those after them.
 
     A pair is given in one of the buckets it shares, the one with the least hash.
@@ -197,8 +237,8 @@ def _close_in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for t, bounds in _runs(batches, _TILE):
         bucket, i, j = (t.column(c).to_numpy() for c in _TILE)
         node, label, block = (t.column(c).to_numpy() for c in ("node", "label", "block"))
-        marks = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-        bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        marks = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint8).reshape(-1, like.places)
+        bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, like.shape[0])
         at, partners = [], []
         for p, q in zip(bounds[:-1], bounds[1:]):
             met: dict[int, list[int]] = {}
@@ -208,7 +248,7 @@ def _close_in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                     other = other[block[other] != block[r]]
                 if not len(other):
                     continue
-                other = other[(marks[other] == marks[r]).sum(axis=1) >= LEAST_AGREE]
+                other = other[(marks[other] == marks[r]).sum(axis=1) >= like.least_agree]
                 if len(other):
                     common = np.where(bands[other] == bands[r], bands[other], np.iinfo(np.int64).max).min(axis=1)
                     other = other[common == bucket[p]]
@@ -224,7 +264,7 @@ def _close_in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             names=[*_TILE, "node", "label", "partners"])
 
 
-def _linked_in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked_in_tiles(batches: Iterator[pa.RecordBatch], like: Likeness) -> Iterator[pa.RecordBatch]:
     """Links (a, b) of a tile that join components; a pair that earlier links have joined is not tested."""
     for t, bounds in _runs(batches, _TILE):
         node, label = t.column("node").to_numpy(), t.column("label").to_numpy()
@@ -248,7 +288,7 @@ def _linked_in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             for k, mine in enumerate(partners[p:q]):
                 for n in mine:
                     x, y = top(int(label[p + k])), top(int(label[p + place[n]]))
-                    if x != y and linked(sets[k], sets[place[n]]):
+                    if x != y and linked(sets[k], sets[place[n]], like.percent):
                         up[max(x, y)] = min(x, y)
                         found.append((int(node[p + k]), n))
         a, b = zip(*found) if found else ((), ())
@@ -286,7 +326,7 @@ def _labelled(nodes: DataFrame, labels: DataFrame, column: str) -> DataFrame:
         "label", F.coalesce("label", F.col(column)))
 
 
-def _links_between(shared: DataFrame, nodes: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
+def _links_between(shared: DataFrame, nodes: DataFrame, texts: DataFrame, labels: DataFrame, like: Likeness) -> DataFrame:
     """All links (a, b) that are needed to join the components of nodes that share buckets."""
     known = _labelled(shared, labels, "node")
     mixed = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
@@ -298,10 +338,11 @@ def _links_between(shared: DataFrame, nodes: DataFrame, texts: DataFrame, labels
                .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                        "block", "node", "label", "bands", "marks"))
     close = members.repartition(*_TILE).sortWithinPartitions(*_TILE).mapInArrow(
-        _close_in_tiles, "bucket long, i int, j int, node long, label long, partners array<long>")
+        functools.partial(_close_in_tiles, like=like), "bucket long, i int, j int, node long, label long, partners array<long>")
     return (stage_table(close, "near-close").hint("merge").join(texts, "node")
             .repartition(*_TILE).sortWithinPartitions(*_TILE)
-            .select(*_TILE, "node", "label", "partners", "text").mapInArrow(_linked_in_tiles, "a long, b long"))
+            .select(*_TILE, "node", "label", "partners", "text").mapInArrow(
+                functools.partial(_linked_in_tiles, like=like), "a long, b long"))
 
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -315,16 +356,19 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
         F.min("label").alias("label")), "near-labels")
 
 
-def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row: the smallest id that links lead to.
 
+    Texts are linked whose sets are ``percent`` alike or more.
+
     The id must be an integer and is taken as unique; repeated rows (equal id and text) get equal results.
     Texts without words, null ones included, have n_shingles 0 and are linked with nothing. Rows with a null
     id stay out of all groups: their component is null and they are kept.
     """
+    like = Likeness(percent)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     sketches = stage_table(rows.mapInArrow(
-        _sketch_batches, "id long, n long, print_a long, print_b long, bands array<long>, marks binary"), "near-sketches")
+        functools.partial(_sketch_batches, like=like), "id long, n long, print_a long, print_b long, bands array<long>, marks binary"), "near-sketches")
     same = ["print_a", "print_b", "n"]
     nodes = stage_table(sketches.filter("n > 0 and id is not null").groupBy(*same).agg(
         F.min("id").alias("node"), F.first("bands").alias("bands"), F.first("marks").alias("marks")), "near-nodes")
@@ -345,9 +389,9 @@ def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     star = shared.join(pivots, "bucket").select("node", (-F.col("best.minus")).alias("pivot")).filter("node <> pivot")
     star = star.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     likely = stage_table(star.join(marks.toDF("a", "marks_a"), "a").join(marks.toDF("b", "marks_b"), "b").filter(
-        sketches_agree("marks_a", "marks_b")).select("a", "b"), "near-pairs")
-    labels = components(_verified(likely, texts))
-    labels = _joined(labels, _links_between(shared, nodes, texts, labels))
+        sketches_agree(like, "marks_a", "marks_b")).select("a", "b"), "near-pairs")
+    labels = components(_verified(likely, texts, like))
+    labels = _joined(labels, _links_between(shared, nodes, texts, labels, like))
 
     group = _labelled(nodes.select(*same, "node"), labels, "node").select(*same, F.col("label").alias("component"))
     out = sketches.select("id", *same).join(group, same, "left")
@@ -362,9 +406,9 @@ def _repeats(sketches: DataFrame) -> bool:
     return bool(sketches.filter("id is not null").groupBy("id").count().filter("count > 1").limit(1).count())
 
 
-def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each group: the one with the smallest id. Rows with a null id all stay."""
-    groups = stage_table(find_groups(docs, text, doc_id), "near-groups")
+    groups = stage_table(find_groups(docs, text, doc_id, percent), "near-groups")
     gone = groups.filter(~F.col("kept")).select(F.col(doc_id).alias("_gone")).distinct()
     left = docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")
     if groups.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).count().filter("count > 1").limit(1).count():

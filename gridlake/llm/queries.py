@@ -141,7 +141,7 @@ def op6_language_id(spark, sf_dir):
 
 @query("op8_near_dedup")
 def op8_near_dedup(spark, sf_dir):
-    return near_dedup.find_groups(table(spark, sf_dir, "documents"))
+    return near_dedup.find_groups(table(spark, sf_dir, "documents"), percent=85)
 
 
 @query("op7_arrow_tokens")

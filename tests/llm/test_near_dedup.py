@@ -114,3 +114,27 @@ def test_blocks_do_not_matter():
     whole = pa.Table.from_batches(nd._sketch_batches([batch])).to_pylist()
     single = [r for k in range(11) for r in pa.Table.from_batches(nd._sketch_batches([batch.slice(k, 1)])).to_pylist()]
     assert whole == single
+
+
+def test_percent_is_a_parameter(spark, docs):
+    """Against brute force at 80, on pairs of every likeness from 0.7 on."""
+    rows = []
+    for k in range(60):
+        text = invented(3000 + k, 200)
+        rows += [(10 * k, text, "en", "s"), (10 * k + 1, edited(text, k % 9, k), "en", "s")]
+    shares = [len(shingles(rows[k][1]) & shingles(rows[k + 1][1])) / len(shingles(rows[k][1]) | shingles(rows[k + 1][1]))
+              for k in range(0, len(rows), 2)]
+    between = sum(0.8 <= v < 0.85 for v in shares)
+    apart = sum(v < 0.8 for v in shares)
+    assert between >= 5 and apart >= 5
+    left = {p: {r["doc_id"] for r in nd.drop_near_copies(docs(rows), percent=p).collect()} for p in (80, 85)}
+    assert len(left[80]) == 60 + apart and len(left[85]) == 60 + apart + between and left[80] < left[85]
+
+
+def test_bands_follow_from_the_percentage():
+    assert nd.Likeness(85).shape == (28, 6) and nd.Likeness(85).least_agree == 115
+    for percent in range(10, 101):
+        like = nd.Likeness(percent)
+        bands, rows = like.shape
+        assert (1 - (percent / 100) ** rows) ** bands <= nd.MISS and like.places <= nd.MOST_PLACES
+        assert like.least_agree < percent / 100 * like.places or percent == 100
