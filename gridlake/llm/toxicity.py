@@ -25,12 +25,13 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlake.cluster import stage_table
 from gridlake.llm.shared import SPACE, blocks, bounded_sample
 
 SAMPLE = 6000             # documents of either label that are learned from, about
 LANDMARKS = 160
-LEAST_SENTENCES = 6       # a word is a training string from so many sentences on
-MOST_STRINGS = 12_000     # and so many words at most are trained on, the most frequent ones
+LEAST_SENTENCES = 6       # a word that is not toxic is a training string from so many sentences on
+MOST_CLEAN = 12_000       # and so many of those at most are trained on, the most frequent ones; toxic ones all are
 LEAST_LIFT = 1.5          # a toxic string is in e**1.5 times as large a share of toxic as of clean sentences,
 LEAST_SURE = 4.0          # by four standard deviations
 CLEAN_WEIGHT = 4.0        # of all clean strings against all toxic ones
@@ -180,9 +181,9 @@ class ToxicModel:
         return 1.0 / (1.0 + np.exp(-np.clip(f, -30, 30)))
 
 
-def _likelihood_ratio(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
+def _likelihood_ratio(toxic: np.ndarray, clean: np.ndarray, totals: tuple[float, float]) -> np.ndarray:
     """Twice the gain in log-likelihood of a rate for each label over one rate for both, per string."""
-    all_t, all_c = toxic.sum() + 1, clean.sum() + 1
+    all_t, all_c = totals[0] + 1, totals[1] + 1
     rate = (toxic + clean) / (all_t + all_c)
     out = np.zeros(len(toxic))
     for seen, n in ((toxic, all_t), (clean, all_c)):
@@ -191,17 +192,24 @@ def _likelihood_ratio(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
     return np.maximum(2 * out, 0.0)
 
 
+def _toxic_test(toxic: np.ndarray, clean: np.ndarray, totals: tuple[float, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each string counts as toxic, and how sure that is, in standard deviations (below 0: clean)."""
+    share_t, share_c = (toxic + 0.5) / (totals[0] + 1), (clean + 0.5) / (totals[1] + 1)
+    lift = np.log(share_t / share_c)
+    sure = np.sign(lift) * np.sqrt(_likelihood_ratio(toxic, clean, totals))
+    return (lift > LEAST_LIFT) & (sure > LEAST_SURE), sure
+
+
 def train_machine(strings: list[str], toxic: np.ndarray, clean: np.ndarray, landmarks: int = LANDMARKS,
-                  passes: int = 40, penalty: float = 1e-3) -> tuple[np.ndarray, float, tuple[str, ...]]:
+                  passes: int = 40, penalty: float = 1e-3, totals: tuple[float, float] | None = None) -> tuple[np.ndarray, float, tuple[str, ...]]:
     """Landmarks, Nystroem features and the linear machine; returns the subsequence table, bias, landmarks.
 
     ``toxic`` and ``clean`` count the sentences of either label that hold a string. Landmarks are the strings
-    that tell the labels apart best, and as many frequent ones that do not.
+    that tell the labels apart best, and as many frequent ones that do not. ``totals`` are the sums of both
+    counts over all words, if the strings are not all.
     """
-    share_t, share_c = (toxic + 0.5) / (toxic.sum() + 1), (clean + 0.5) / (clean.sum() + 1)
-    lift = np.log(share_t / share_c)
-    sure = np.sign(lift) * np.sqrt(_likelihood_ratio(toxic, clean))    # in standard deviations
-    y = np.where((lift > LEAST_LIFT) & (sure > LEAST_SURE), 1.0, -1.0)
+    passed, sure = _toxic_test(toxic, clean, totals or (toxic.sum(), clean.sum()))
+    y = np.where(passed, 1.0, -1.0)
     if not (y > 0).any():
         y[np.argmax(sure)] = 1.0
     order = [k for k in np.argsort(-sure, kind="stable") if y[k] > 0]
@@ -257,8 +265,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", d
         label: str = "toxic", sample: int = SAMPLE) -> ToxicModel:
     """Learn from labelled rows where ``learn`` (over the id) holds, about ``sample`` of either label.
 
-    Spark counts in how many toxic and clean sentences each word stands; the most frequent MOST_STRINGS
-    words are trained on. With only one label present the score is that label's share everywhere.
+    Spark counts in how many toxic and clean sentences each word stands, and tests every word; all toxic ones
+    and the MOST_CLEAN most frequent others are trained on. With only one label present the score is that label's share everywhere.
     """
     marks = labels.filter(learn & F.col(label).isin(0, 1)).groupBy(F.col(doc_id)).agg(F.max(F.col(label)).alias("mark"))
     tally = {r["mark"]: r["count"] for r in marks.groupBy("mark").count().collect()}
@@ -286,16 +294,26 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", d
                 [pa.array(list(found), pa.string()), pa.array([v[1] for v in found.values()], pa.int64()),
                  pa.array([v[0] for v in found.values()], pa.int64())], names=["w", "toxic", "clean"])
 
-    counts = (rows.mapInArrow(sentence_words, "w string, toxic long, clean long").groupBy("w")
-              .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-              .filter(F.col("toxic") + F.col("clean") >= LEAST_SENTENCES)
-              .orderBy(F.desc(F.col("toxic") + F.col("clean")), "w").limit(MOST_STRINGS).toArrow())
+    counts = stage_table(rows.mapInArrow(sentence_words, "w string, toxic long, clean long").groupBy("w")
+                         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxic-words")
+    totals = tuple(float(v or 0) for v in counts.agg(F.sum("toxic"), F.sum("clean")).first())
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            passed, _ = _toxic_test(*(batch.column(k).to_numpy().astype(float) for k in (1, 2)), totals)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(passed)], names=["w", "toxic", "clean", "passed"])
+
+    judged = counts.mapInArrow(judge, "w string, toxic long, clean long, passed boolean")
+    number = F.col("toxic") + F.col("clean")
+    kept = [judged.filter("passed").orderBy(F.desc(number), "w").toArrow(),
+            judged.filter(~F.col("passed") & (number >= LEAST_SENTENCES)).orderBy(F.desc(number), "w").limit(MOST_CLEAN).toArrow()]
+    counts = pa.concat_tables(kept)
     strings = counts.column("w").to_pylist()
     if not strings:
         share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
         return ToxicModel(np.zeros(SYMBOLS ** 4, np.float32), 0.0, (0.0, 0.0, 0.0, float(np.log(share / (1 - share)))), ())
     table, bias, chosen = train_machine(strings, counts.column("toxic").to_numpy().astype(float),
-                                        counts.column("clean").to_numpy().astype(float))
+                                        counts.column("clean").to_numpy().astype(float), totals=totals)
     machine = ToxicModel(table, bias, (), chosen)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 

@@ -89,6 +89,24 @@ def test_toxicity_held_out_and_disguised(spark, docs):
     assert got[900]["score"] == got[901]["score"] < 0.5 and got[902]["predicted"] == 0
 
 
+def test_rare_insults_are_trained_on_and_clean_words_alone_are_capped(spark, docs, monkeypatch):
+    """Rare words that pass the toxic test are kept, however many clean words are more frequent."""
+    for name in ("MOST_CLEAN", "MOST_STRINGS"):
+        monkeypatch.setattr(toxicity, name, 50, raising=False)
+    seen, train = [], toxicity.train_machine
+    monkeypatch.setattr(toxicity, "train_machine", lambda strings, *a, **k: seen.extend(strings) or train(strings, *a, **k))
+    rows = []
+    for k in range(240):
+        w = invented(k, 60).split()
+        if k % 8 == 0:
+            w[20] = "vexmurd" if k % 48 == 0 else "bragnok"
+        rows.append((k, ". ".join(" ".join(w[a:a + 10]) for a in range(0, len(w), 10)), "en", "s"))
+    model = toxicity.fit(docs(rows), labelled(spark, [(i, int(i % 8 == 0)) for i, *_ in rows], "toxic"), F.lit(True))
+    assert {"vexmurd", "bragnok"} <= set(seen) and len(seen) == 52
+    got = toxicity.score(docs([(1, f"{invented(900, 20)} vexmurd {invented(901, 20)}", "en", "s"), (2, invented(902, 40), "en", "s")]), model)
+    assert {r["doc_id"]: r["predicted"] for r in got.collect()} == {1: 1, 2: 0}
+
+
 def test_table_gives_the_machine_s_own_decisions():
     words = ["bragnok", "zulfrit", "ratomi", "lekosun", "tomira", "unosle"]
     toxic, clean = np.array([30.0, 20, 1, 0, 1, 0]), np.array([0.0, 0, 60, 50, 40, 70])
