@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import (
-    arrow_tokens, decontaminate, language, near_dedup, packing, quality, topk, toxicity, urls, warc,
+    arrow_tokens, decontaminate, language, near_dedup, one_bit, packing, quality, topk, toxicity, urls, warc,
 )
 from gridlake.llm.shared import ship_package, split_of
 
@@ -159,3 +159,8 @@ def op10_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     indexes = decontaminate.build_indexes(docs, table(spark, sf_dir, "benchmark"))
     return decontaminate.find_leaks(docs, indexes)
+
+
+@query("op13_nearest")
+def op13_nearest(spark, sf_dir):
+    return one_bit.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
