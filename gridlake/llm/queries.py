@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import (
-    arrow_tokens, decontaminate, language, near_dedup, one_bit, packing, quality, topk, toxicity, urls, warc,
+    arrow_tokens, ball_tree, decontaminate, language, near_dedup, one_bit, packing, quality, topk, toxicity, urls, warc,
 )
 from gridlake.llm.shared import ship_package, split_of
 
@@ -161,6 +161,38 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.find_leaks(docs, indexes)
 
 
+LEXICAL_SQL = r"""
+WITH words AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)
+), asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+  ) GROUP BY item_id, term
+), sizes AS (SELECT r, count(*) AS n FROM words GROUP BY r
+), whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes
+), tf AS (SELECT r, doc_id, term, count(*) AS tf FROM words GROUP BY r, doc_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY term
+), scores AS (
+  SELECT item_id, r, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN sizes USING (r), whole
+  GROUP BY item_id, r, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+) WHERE rank <= 10
+"""
+
+
+@query("op12_lexical_search", LEXICAL_SQL)
+def op12_lexical_search(spark, sf_dir):
+    return ball_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op13_nearest")
 def op13_nearest(spark, sf_dir):
     return one_bit.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
