@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import (
-    arrow_tokens, ball_tree, decontaminate, language, near_dedup, one_bit, packing, quality, topk, toxicity, urls, warc,
+    arrow_tokens, ball_tree, conversations, decontaminate, language, near_dedup, one_bit, packing, quality, topk, toxicity, urls,
+    warc,
 )
 from gridlake.llm.shared import ship_package, split_of
 
@@ -161,6 +162,76 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.find_leaks(docs, indexes)
 
 
+def _repair_sql() -> str:
+    """The repair as a walk from each conversation's last row to its first, with the best way on from each state.
+
+    A way is {c: cost, e: edits, t: rows}; states are 0 nothing yet, 1 after system, 2 after user, 3 after assistant.
+    """
+    role = {2: "user:", 3: "assistant:"}
+    forced, leads = (2, 2, 3, 2), {"s": {0: 1}, "u": {0: 2, 1: 2, 3: 2}, "a": {2: 3}}
+    way = lambda cost, edit, rows, to: f"{{c: g{to}.c + {cost}, e: '{edit}' || g{to}.e, t: {rows} || g{to}.t}}"
+    insert = lambda s, behind: (f"{{c: {behind}.c + 2, e: 'I' || {behind}.e, t: ['{role[forced[s]]}'] || {behind}.t}}")
+    use = []
+    for s in range(4):
+        keep = " ".join(f"WHEN initial = '{i}' THEN {way('cut', 'K', '[said]', to[s])}" for i, to in leads.items() if s in to)
+        new = role[forced[s]]
+        use.append(f"least({way(3, 'D', 'CAST([] AS VARCHAR[])', s)}, CASE WHEN gone THEN NULL {keep} END, "
+                   f"CASE WHEN NOT gone THEN {way('2 + cut', 'R', f"['{new}' || text]", forced[s])} END) AS h{s}")
+    end = ", ".join(f"{{c: CAST({len(rows) * 2} AS BIGINT), e: '{'I' * len(rows)}', t: CAST({rows} AS VARCHAR[])}} AS g{s}"
+                    for s, rows in enumerate([[], ["user:", "assistant:"], ["assistant:"], []]))
+    crc_entry = "list_reduce([k] || range(8), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+    return f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda k: {crc_entry}) AS entry),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), faults AS (
+  SELECT conv_id, turn, role, text,
+         xor(list_reduce([4294967295] || list_transform(string_split(k, ''), lambda x: CAST(ord(x) AS BIGINT)),
+                         lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fault FROM keyed, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM faults WHERE fault <> 0
+), placed AS (
+  SELECT *, regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS bare,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS time FROM damaged
+), found AS (
+  SELECT conv_id, i, turn, role, text, role || ':' || text AS said, left(role, 1) AS initial, bare = '' AS blank, time > 1 AS again,
+         bare = '' OR time > 1 AS gone, CASE WHEN right(bare, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS cut,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM placed
+), facts AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+         count(*) FILTER (cut = 1 AND NOT gone) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM found GROUP BY conv_id
+), walk AS (
+  SELECT conv_id, n AS i, {end} FROM facts
+  UNION ALL
+  SELECT conv_id, i - 1, least(h0, {{c: g2.c + 2, e: 'I' || g2.e, t: ['user:'] || g2.t}}),
+         least(h1, {{c: g2.c + 2, e: 'I' || g2.e, t: ['user:'] || g2.t}}), g2, g3
+  FROM (SELECT *, least(h2, {insert(2, 'h3')}) AS g2, least(h3, {insert(3, 'h2')}) AS g3
+        FROM (SELECT w.conv_id, w.i, {', '.join(use)}
+              FROM walk w JOIN found f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.i = f.i))
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(g0.c, 0) AS cost,
+       coalesce(g0.e, '') AS audit, sha256(coalesce(array_to_string(g0.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN facts f ON c.conv_id IS NOT DISTINCT FROM f.conv_id
+LEFT JOIN walk w ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = 0
+"""
+
+
+@query("op11_repair", _repair_sql())
+def op11_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair_report(conversations.damage(rows), rows)
+
+
 LEXICAL_SQL = r"""
 WITH words AS (
   SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

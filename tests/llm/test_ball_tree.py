@@ -43,8 +43,6 @@ def found(spark, docs, items, k=10):
 
 @pytest.mark.parametrize("at_once", [2000, 7])
 def test_against_brute_force(spark, monkeypatch, at_once):
-    monkeypatch.setattr(ball_tree, "TREE_DOCS", 100)
-    monkeypatch.setattr(ball_tree, "LEAF_DOCS", 4)
     monkeypatch.setattr(ball_tree, "ITEMS_AT_ONCE", at_once)
     r = random.Random(2)
     docs = [(i, invented(i, r.randint(1, 120))) for i in range(700)]
