@@ -254,34 +254,77 @@ def face_mosaic(df: DataFrame, nside: int) -> DataFrame:
 
 # --- triangles ----------------------------------------------------------------------------------
 
-def barycentric_weights(triangles: DataFrame, vertices: DataFrame, targets: DataFrame, bin_size: float) -> DataFrame:
-    """Weights of the three corners of the triangle that holds each target.
+# Smallest bins of a triangle, against its extent: so many of them a side at most.
+FINEST = 32
 
-    ``triangles(tri, v0, v1, v2)``, ``vertices(v, x, y)``, ``targets(target, x, y)``. Triangles and
-    targets meet on square bins of ``bin_size``; on a shared edge the lowest triangle wins. A
-    target outside all triangles has no weights.
-    """
-    t = triangles
-    for k in (0, 1, 2):
-        t = t.join(vertices.select(F.col("v").alias(f"v{k}"), F.col("x").alias(f"x{k}"), F.col("y").alias(f"y{k}")), f"v{k}")
+
+def with_corners(triangles: DataFrame, vertices: DataFrame) -> DataFrame:
+    """``triangles(tri, v0, v1, v2)`` with ``x0`` ... ``y2``; without those that lack a corner or have no area."""
+    corner = triangles.select("tri", F.posexplode(F.array("v0", "v1", "v2")).alias("_k", "v")).join(vertices.select("v", "x", "y"), "v")
+    at = lambda k, c: F.max(F.when(F.col("_k") == k, F.col(c)))
+    t = corner.groupBy("tri").agg(*[at(k, c).alias(f"{c}{k}") for k in (0, 1, 2) for c in "vxy"])
     dx0, dx1 = F.col("x0") - F.col("x2"), F.col("x1") - F.col("x2")
     dy0, dy1 = F.col("y0") - F.col("y2"), F.col("y1") - F.col("y2")
-    t = t.withColumns({"dx0": dx0, "dx1": dx1, "dy0": dy0, "dy1": dy1, "det": dx0 * dy1 - dx1 * dy0}).filter("det <> 0")
+    return t.withColumns({"dx0": dx0, "dx1": dx1, "dy0": dy0, "dy1": dy1, "det": dx0 * dy1 - dx1 * dy0}).filter("det <> 0")
 
-    def bins(a, b, c):
-        cell = lambda v: F.floor(v / F.lit(float(bin_size)))
-        return F.sequence(cell(F.least(a, b, c)), cell(F.greatest(a, b, c)))
 
-    t = t.withColumn("_bx", F.explode(bins("x0", "x1", "x2"))).withColumn("_by", F.explode(bins("y0", "y1", "y2")))
-    p = targets.select("target", "x", "y").withColumns({
-        "_bx": F.floor(F.col("x") / F.lit(float(bin_size))), "_by": F.floor(F.col("y") / F.lit(float(bin_size))),
-    })
+def triangle_bins(t: DataFrame) -> DataFrame:
+    """Triangles in the square bins that they touch: ``_level``, ``_bx``, ``_by``.
+
+    A level's bins have sides of 2 ** level. Each triangle goes to the level of its own size: of the root of twice
+    its area, so that few triangles of a triangulation share a bin even if they are long and thin, but
+    not below FINEST bins along its extent. So a triangle has a handful of rows, at most some times FINEST,
+    whatever the others' sizes are, and a target meets the triangles of one bin for each level there is.
+    """
+    low = {c: F.least(*[F.col(f"{c}{k}") for k in (0, 1, 2)]) for c in "xy"}
+    high = {c: F.greatest(*[F.col(f"{c}{k}") for k in (0, 1, 2)]) for c in "xy"}
+    extent = F.greatest(high["x"] - low["x"], high["y"] - low["y"])
+    level = F.ceil(F.log2(F.greatest(F.sqrt(F.abs(F.col("det"))), extent / FINEST)))
+    # Rounding can leave a point on an edge a hair outside both triangles that share it.
+    hair = F.col("_size") * 1e-9
+    t = t.withColumn("_level", level.cast("int")).withColumn("_size", F.pow(F.lit(2.0), F.col("_level")))
+    t = t.withColumn("_by", F.explode(F.sequence(
+        F.floor((low["y"] - hair) / F.col("_size")), F.floor((high["y"] + hair) / F.col("_size")))))
+    bottom, top = F.col("_by") * F.col("_size") - hair, (F.col("_by") + 1) * F.col("_size") + hair
+
+    def reach(a: int, b: int) -> list[Column]:
+        """Where an edge enters and leaves the row of bins; missing if it does not."""
+        xa, ya, xb, yb = (F.col(f"{c}{k}") for k in (a, b) for c in "xy")
+        meets = (F.least(ya, yb) <= top) & (F.greatest(ya, yb) >= bottom)
+        at = lambda y: F.when(ya == yb, xa).otherwise(xa + (xb - xa) * ((F.least(F.greatest(y, bottom), top) - ya) / (yb - ya)))
+        return [F.when(meets, F.when(ya == yb, x).otherwise(at(y))) for x, y in ((xa, ya), (xb, yb))]
+
+    ends = [e for a, b in ((0, 1), (1, 2), (2, 0)) for e in reach(a, b)]
+    first = F.floor((F.greatest(F.least(*ends), low["x"]) - hair) / F.col("_size"))
+    last = F.floor((F.least(F.greatest(*ends), high["x"]) + hair) / F.col("_size"))
+    return t.withColumn("_bx", F.explode(F.sequence(first, last))).drop("_size")
+
+
+def target_bins(targets: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """Targets in the bin that holds them, for each of the levels."""
+    if not levels:
+        levels = [0]
+    p = targets.select("target", "x", "y", F.explode(F.array(*[F.lit(v) for v in sorted(levels)])).alias("_level"))
+    size = F.pow(F.lit(2.0), F.col("_level"))
+    return p.withColumns({"_bx": F.floor(F.col("x") / size), "_by": F.floor(F.col("y") / size)})
+
+
+def barycentric_weights(triangles: DataFrame, vertices: DataFrame, targets: DataFrame, rows: int | None = None) -> DataFrame:
+    """Weights of the three corners of the triangle that holds each target.
+
+    ``triangles(tri, v0, v1, v2)``, ``vertices(v, x, y)``, ``targets(target, x, y)``. Triangles and targets meet
+    on the bins of ``triangle_bins``; on a shared edge the lowest triangle wins. A target outside all triangles
+    has no weights. The triangles' bins are written once, to learn the levels there are (one for each doubling
+    of size). ``rows`` bounds the number of triangles, where parameters give it.
+    """
+    t = stage_table(triangle_bins(with_corners(triangles, vertices)), "triangles")
+    levels = [r[0] for r in t.select("_level").distinct().collect()]
+    t = broadcast_within(t, None if rows is None else 4 * FINEST * rows)
     rx, ry = F.col("x") - F.col("x2"), F.col("y") - F.col("y2")
-    hit = p.join(t, ["_bx", "_by"]).withColumns({
+    hit = target_bins(targets, levels).join(t, ["_level", "_bx", "_by"]).withColumns({
         "w0": (F.col("dy1") * rx - F.col("dx1") * ry) / F.col("det"),
         "w1": (F.col("dx0") * ry - F.col("dy0") * rx) / F.col("det"),
     }).withColumn("w2", 1.0 - F.col("w0") - F.col("w1"))
-    # Rounding can leave a point on an edge a hair outside both triangles that share it.
     slack = F.lit(-1e-12)
     hit = hit.filter((F.col("w0") >= slack) & (F.col("w1") >= slack) & (F.col("w2") >= slack))
     parts = ["v0", "v1", "v2", "w0", "w1", "w2"]
@@ -292,10 +335,6 @@ def barycentric_weights(triangles: DataFrame, vertices: DataFrame, targets: Data
 
 
 def barycentric_interp(values: DataFrame, triangles: DataFrame, vertices: DataFrame, targets: DataFrame,
-                       bin_size: float, group: Sequence[str] = ("time",), value: str = "value") -> DataFrame:
-    """Field values at the vertices (``v``) interpolated linearly to the targets.
-
-    The weights are written once; their size decides how the field meets them.
-    """
-    weights = stage_table(barycentric_weights(triangles, vertices, targets, bin_size), "weights")
-    return apply_weights(values, weights, ["v"], ["target"], group, value)
+                       group: Sequence[str] = ("time",), value: str = "value", rows: int | None = None) -> DataFrame:
+    """Field values at the vertices (``v``) interpolated linearly to the targets. ``rows`` as of the weights."""
+    return apply_weights(values, barycentric_weights(triangles, vertices, targets, rows), ["v"], ["target"], group, value)

@@ -103,13 +103,13 @@ def accumulate_and_select(df: DataFrame, times: Sequence[str] | DataFrame | None
 
 
 def mask_job(df: DataFrame, nside: int, edges: DataFrame, fill: float, start=None, end=None,
-             mask_south: bool = False, mask: DataFrame | None = None) -> DataFrame:
+             mask_south: bool = False, mask: DataFrame | None = None, edge_rows: int | None = None) -> DataFrame:
     """Overwrite ice sheets, and on request everything south of 60 S, with a fill value.
 
-    ``mask`` reuses a stored mask instead of testing the cells again.
+    ``mask`` reuses a stored mask instead of testing the cells again. ``edge_rows`` bounds the number of edges.
     """
     if mask is None:
-        mask = masks.icesheet_mask(hpx_cells(df.sparkSession, nside), edges, -60.0 if mask_south else None)
+        mask = masks.icesheet_mask(hpx_cells(df.sparkSession, nside), edges, -60.0 if mask_south else None, rows=edge_rows)
     return masks.apply_mask(select.time_slice(df, start, end), mask, fill, rows=healpix.npix(nside))
 
 

@@ -1,8 +1,10 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from gridlake.cluster import stage_table
 from gridlake.operators import regrid as rg
 from gridlake.operators.spine import grid_spine, hpx_cells
 
@@ -93,13 +95,75 @@ def test_barycentric(spark):
     tri = spark.createDataFrame([(0, 0, 1, 2), (1, 1, 3, 2)], "tri bigint, v0 bigint, v1 bigint, v2 bigint")
     values = vert.select(F.lit(1).alias("time"), "v", (F.col("x") * 3 + F.col("y") * 5).alias("value"))
     pts = spark.createDataFrame([(0, 2.0, 3.0), (1, 5.0, 5.0), (2, 9.0, 9.0), (3, 11.0, 5.0), (4, 10.0, 0.0)], "target bigint, x double, y double")
-    w = rg.barycentric_weights(tri, vert, pts, 3.0)
+    w = rg.barycentric_weights(tri, vert, pts)
     assert {r.target for r in w.collect()} == {0, 1, 2, 4}          # 3 lies outside
     assert {r.v for r in w.filter("target = 1").collect()} == {0, 1, 2}   # shared edge: lowest triangle
-    got = {r.target: r.value for r in rg.barycentric_interp(values, tri, vert, pts, 3.0).collect()}
+    got = {r.target: r.value for r in rg.barycentric_interp(values, tri, vert, pts).collect()}
     assert got == {0: pytest.approx(21.0), 1: pytest.approx(40.0), 2: pytest.approx(72.0), 4: pytest.approx(30.0)}
 
 
+def holders(corners, x, y):
+    """Triangles that hold a point, by the signs of three areas."""
+    out = []
+    for tri, ((x0, y0), (x1, y1), (x2, y2)) in corners.items():
+        areas = [(x1 - x0) * (y - y0) - (y1 - y0) * (x - x0), (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1), (x0 - x2) * (y - y2) - (y0 - y2) * (x - x2)]
+        if all(a >= 0 for a in areas) or all(a <= 0 for a in areas):
+            out.append(tri)
+    return out
+
+
+def test_triangles_of_all_sizes(spark):
+    r = random.Random(6)
+    shapes = []
+    for k in range(300):
+        size = 10.0 ** r.uniform(-3, 3)
+        x, y, turn = r.uniform(-50, 50), r.uniform(-50, 50), r.uniform(0, 6.3)
+        thin = r.choice([1.0, 1.0, 0.01, 1e-4])
+        shapes.append([(x + size * (a * math.cos(turn) - b * thin * math.sin(turn)), y + size * (a * math.sin(turn) + b * thin * math.cos(turn)))
+                       for a, b in ((0, 0), (1, 0), (0.3, 1))])
+    shapes += [[(0.0, 0.0), (8.0, 0.0), (0.0, 8.0)], [(8.0, 0.0), (8.0, 8.0), (0.0, 8.0)], [(1.0, 1.0), (2.0, 2.0), (3.0, 3.0)]]   # the last has no area
+    corners = {1000 - k: p for k, p in enumerate(shapes)}
+    vert = spark.createDataFrame([(10 * t + i, *p) for t, ps in corners.items() for i, p in enumerate(ps)], "v bigint, x double, y double")
+    tri = spark.createDataFrame([(t, 10 * t, 10 * t + 1, 10 * t + 2) for t in corners], "tri bigint, v0 bigint, v1 bigint, v2 bigint")
+    points = [(r.uniform(-60, 60), r.uniform(-60, 60)) for _ in range(500)] + [(sum(a * x for a, (x, _) in zip(w, ps)), sum(a * y for a, (_, y) in zip(w, ps)))
+              for ps in shapes[:300] for w in ((0.2, 0.3, 0.5), (0.9, 0.05, 0.05))]
+    at = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "target bigint, x double, y double")
+    got = {x.target: x.v // 10 for x in rg.barycentric_weights(tri, vert, at).collect()}
+    flat = corners.pop(1000 - len(shapes) + 1)
+    assert flat == [(1.0, 1.0), (2.0, 2.0), (3.0, 3.0)]
+    want = {i: min(h) for i, p in enumerate(points) if (h := holders(corners, *p))}
+    assert got == want
+
+
+def test_a_target_meets_few_of_many_triangles(spark):
+    n = 224                                    # 100,352 small triangles, and a huge one below them all
+    cells = spark.range(n * n).select((F.col("id") % n).alias("i"), F.floor(F.col("id") / n).alias("j"))
+    corner = lambda i, j: F.col("j") * 1000 + j * 1000 + F.col("i") + i
+    small = cells.select((F.col("j") * 1000 + F.col("i")).alias("k"), corner(0, 0).alias("a"), corner(1, 0).alias("b"), corner(0, 1).alias("c"), corner(1, 1).alias("d"))
+    huge = spark.createDataFrame([(10 ** 9, 10 ** 9, 10 ** 9 + 1, 10 ** 9 + 2)], "tri bigint, v0 bigint, v1 bigint, v2 bigint")
+    tri = small.selectExpr("2 * k as tri", "a as v0", "b as v1", "c as v2").union(small.selectExpr("2 * k + 1", "b", "d", "c")).union(huge)
+    vert = spark.range((n + 1) * 1000).select(F.col("id").alias("v"), (F.col("id") % 1000 / 7.0).alias("x"), (F.floor(F.col("id") / 1000) / 7.0).alias("y"))
+    vert = vert.union(spark.createDataFrame([(10 ** 9, -5000.0, -5000.0), (10 ** 9 + 1, 9000.0, -5000.0), (10 ** 9 + 2, 0.0, 9000.0)], "v bigint, x double, y double"))
+    bins = stage_table(rg.triangle_bins(rg.with_corners(tri, vert)), "bins")
+    levels = [x[0] for x in bins.select("_level").distinct().collect()]
+    assert len(levels) == 2 and bins.count() < 7 * 100_353
+    r = random.Random(1)
+    at = spark.createDataFrame([(i, r.uniform(-40, 40), r.uniform(-40, 40)) for i in range(2000)], "target bigint, x double, y double")
+    met = rg.target_bins(at, levels).join(bins, ["_level", "_bx", "_by"]).groupBy("target").count().agg(F.max("count"), F.min("count")).first()
+    assert met[0] <= 20 and met[1] >= 1
+    values = vert.select(F.lit(1).alias("time"), "v", (F.col("x") * 2 - F.col("y") * 3).alias("value"))
+    got = rg.barycentric_interp(values, tri, vert, at).join(at, "target").select(F.max(F.abs(F.col("value") - F.col("x") * 2 + F.col("y") * 3)), F.count("*")).first()
+    assert got[1] == 2000 and got[0] < 1e-6
+
+
+def test_no_triangles_and_no_targets(spark):
+    tri = spark.createDataFrame([], "tri bigint, v0 bigint, v1 bigint, v2 bigint")
+    vert = spark.createDataFrame([(0, 0.0, 0.0)], "v bigint, x double, y double")
+    at = spark.createDataFrame([(1, 1.0, 1.0)], "target bigint, x double, y double")
+    assert rg.barycentric_weights(tri, vert, at).count() == 0
+    assert rg.barycentric_weights(tri, vert, at.limit(0)).count() == 0
+
+
 def test_bin_mean(spark):
     pts = spark.createDataFrame([(45.0, 40.0, 2.0), (45.5, 40.5, 4.0), (45.5, 40.5, None), (None, 3.0, 9.0)], "lon double, lat double, value double")
     got = {r.pix: r.value for r in rg.bin_mean_to_hpx(pts, 1).collect()}

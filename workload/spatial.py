@@ -365,7 +365,7 @@ def barycentric(spark, d):
     yearly = fx.table(spark, d, "lineitem").groupBy(
         fx.quarter("l_shipdate").alias("time"), (F.col("l_orderkey") % 5).alias("v")
     ).agg(F.sqrt(F.avg("l_extendedprice")).alias("value"))
-    out = rg.barycentric_interp(yearly, tri, vert, tri_targets(spark, d), bin_size=15.0)
+    out = rg.barycentric_interp(yearly, tri, vert, tri_targets(spark, d), rows=len(fx.TRIANGLES))
     return out.select("time", "target", rnd("value", 4).alias("value"))
 
 
@@ -391,7 +391,7 @@ SELECT p.id, p.pix, mask.mask FROM p JOIN mask ON mask.pix = p.pix
 def polygon_mask(spark, d):
     p = order_pixels(spark, d)
     centres = healpix.with_centre(p.select("pix").distinct(), N)
-    return p.join(mk.polygon_mask(centres, fx.polygon_edges(spark)), "pix").select("id", "pix", "mask")
+    return p.join(mk.polygon_mask(centres, fx.polygon_edges(spark), rows=len(fx.EDGES)), "pix").select("id", "pix", "mask")
 
 
 @query("E14_polar_cap_mask", f"""
@@ -414,7 +414,7 @@ WITH {MASKED_SQL}
 SELECT h.time, h.pix, CASE WHEN mask.mask THEN -1.0 ELSE {srnd('h.value')} END AS value FROM hfield h JOIN mask ON mask.pix = h.pix
 """)
 def apply_mask(spark, d):
-    mask = mk.polygon_mask(hpx_cells(spark, fx.NSIDE), fx.polygon_edges(spark))
+    mask = mk.polygon_mask(hpx_cells(spark, fx.NSIDE), fx.polygon_edges(spark), rows=len(fx.EDGES))
     return mk.apply_mask(fx.hfield(spark, d), mask, -1.0, rows=192).select("time", "pix", rnd("value").alias("value"))
 
 

@@ -125,7 +125,8 @@ FROM hfield h JOIN mask ON mask.pix = h.pix JOIN cells c ON c.pix = h.pix
 WHERE h.time BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '2001-01-01'
 """)
 def mask(spark, d):
-    return jobs.mask_job(fx.hfield(spark, d), fx.NSIDE, fx.polygon_edges(spark), -1.0, "1996-01-01", "2001-01-01", True) \
+    return jobs.mask_job(fx.hfield(spark, d), fx.NSIDE, fx.polygon_edges(spark), -1.0, "1996-01-01", "2001-01-01", True,
+                         edge_rows=len(fx.EDGES)) \
         .select("time", "pix", rnd("value").alias("value"))
 
 
