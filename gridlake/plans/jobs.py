@@ -159,7 +159,7 @@ def compile_training(inputs: Mapping[str, DataFrame], outputs: Mapping[str, Data
     store = None
     for name, df in ready.items():
         places = [(role, names.index(name)) for role, names in (("inputs", list(inputs)), ("targets", targets)) if name in names]
-        part = _in_roles(df, name, places)
+        part = in_roles(df, name, places)
         store = part if store is None else store.unionByName(part)
     if constants:
         still = {name: df.select(F.lit(None).cast("timestamp_ntz").alias("time"), "pix", "value")
@@ -168,7 +168,7 @@ def compile_training(inputs: Mapping[str, DataFrame], outputs: Mapping[str, Data
     return select.cast_value(store, "float").select("role", "channel", "channel_idx", "time", "pix", "value")
 
 
-def _in_roles(df: DataFrame, channel: str, places: Sequence[tuple[str, int]]) -> DataFrame:
+def in_roles(df: DataFrame, channel: str, places: Sequence[tuple[str, int]]) -> DataFrame:
     """A field as a channel of one or more roles; it is read once however many there are."""
     roles = F.array(*[F.struct(F.lit(role).alias("role"), F.lit(i).alias("channel_idx")) for role, i in places])
     return df.withColumn("_place", F.explode_outer(roles)).select(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridlake.operators import spine as sp
 from gridlake.operators import stats as st
+from gridlake.sources import fields as src
 from gridlake.sources import granules as gr
 from workload import fixtures as fx
 from workload.registry import query, rnd, srnd
@@ -39,6 +40,29 @@ def annual_range(spark, d):
     return out.select("cell", *[rnd(c, 5).alias(c) for c in out.columns[1:]])
 
 
+def yearly_state(spark, d):
+    """The climatology's state, built year by year and stored, as a build that grows does it."""
+    clim = src.staged(fx.clim(spark, d), "clim")
+    years = sorted(r[0] for r in clim.select(F.year("time")).distinct().collect())
+    states = [src.staged(st.climatology_state(clim.filter(F.year("time") == y)), "state") for y in years]
+    return st.merge_states(states)
+
+
+@query("G1_merged_states", f"WITH {DOY_SQL} SELECT cell, doy, {srnd('value', 5)} AS value FROM doy")
+def merged_doy(spark, d):
+    return st.climatology_of_state(yearly_state(spark, d)).select("cell", "doy", rnd("value", 5).alias("value"))
+
+
+@query("G4_merged_states", f"""
+WITH {DOY_SQL}
+SELECT cell, {srnd('min(value)', 5)} AS price_min, {srnd('max(value)', 5)} AS price_max,
+       {srnd('max(value) - min(value)', 5)} AS price_annual_range FROM doy GROUP BY 1
+""")
+def merged_range(spark, d):
+    out = st.metas_of_state(yearly_state(spark, d), "price")
+    return out.select("cell", *[rnd(c, 5).alias(c) for c in out.columns[1:]])
+
+
 @query("G5_missing_count", f"WITH {fx.OBS_SQL} SELECT count(*) - count(value) AS n_missing FROM obs")
 def missing(spark, d):
     return st.missing_count(fx.obs(spark, d))
