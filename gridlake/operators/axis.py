@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.functions.timeaxis import exact_seconds, year_block
+from gridlake.functions.timeaxis import exact_seconds, truncate_hour, year_block
 
 
 def _beside(which: str, column: str, keys: Sequence[str], order: str) -> Column:
@@ -78,24 +78,45 @@ def axis_map(source: DataFrame, target: DataFrame, axis: str, how: str, block_wi
     target with no such source gets ``inside = false`` and the closest source end as ``src``, so
     that joining a field to the map still yields a row (with a missing value) for it.
     """
+    labels = source.select(F.lit("").alias("source"), axis)
+    return axis_maps(labels, target, axis, how, [""], block_width).drop("source")
+
+
+def axis_maps(labels: DataFrame, target: DataFrame, axis: str, how: str, names: Sequence[str], block_width: float = 15.0,
+              same_hours: bool = False) -> DataFrame:
+    """The maps of many sources onto one axis in one pass: ``source``, the label, ``src`` and ``inside``.
+
+    ``labels(source, <axis>)`` holds the labels of all the sources ``names``, repeated or not. They and the target's
+    labels, once for each source, become one table with one row for a source and label, and each source keeps
+    its own last and next label along it. With ``same_hours``, a source whose labels are the target's to the hour,
+    one for one, is relabelled: each target takes the source label of its hour. The test is made from the same table.
+    """
     if how not in ("ffill", "nearest"):
         raise ValueError(f"unknown axis mapping: {how}")
     is_time = dict(target.dtypes)[axis].startswith("timestamp")
     at = exact_seconds(F.col(axis)) if is_time else F.col(axis)
-    sources = source.select(axis).distinct().withColumn("_src", F.col(axis))
-    targets = target.select(axis).distinct().withColumn("_want", F.lit(True))
-    both = targets.join(sources, axis, "full_outer").withColumn("_pos", at) \
-        .withColumn("_at", F.when(F.col("_src").isNotNull(), F.col("_pos")))
+    have = labels.select("source", axis, F.lit(False).alias("_want"))
+    want = target.select(F.explode(F.array(*[F.lit(n) for n in names])).alias("source"), axis, F.lit(True).alias("_want"))
+    both = have.unionByName(want).filter(F.col(axis).isNotNull()).groupBy("source", axis).agg(
+        F.bool_or("_want").alias("_want"), F.bool_or(~F.col("_want")).alias("_have"))
+    both = both.withColumn("_src", F.when(F.col("_have"), F.col(axis))).withColumn("_pos", at) \
+        .withColumn("_at", F.when(F.col("_have"), F.col("_pos")))
     block = year_block(F.col(axis)) if is_time else F.floor(F.col(axis) / F.lit(block_width))
-    near = with_valid_neighbours(both, [], axis, ["_src", "_at"], block).filter("_want")
+    near = with_valid_neighbours(both, ["source"], axis, ["_src", "_at"], block).filter("_want")
     prev, next_ = F.col("prev__src"), F.col("next__src")
     if how == "ffill":
         src = prev
     else:
         src = nearest_choice(F.col("prev__at"), F.col("_pos"), F.col("next__at"), prev, next_)
-    return near.select(
-        axis, F.coalesce(src, prev, next_).alias("src"), src.isNotNull().alias("inside")
-    )
+    found = near.select("source", axis, F.coalesce(src, prev, next_).alias("src"), src.isNotNull().alias("inside"))
+    if not same_hours:
+        return found
+    hours = both.groupBy("source", truncate_hour(F.col(axis)).alias("_h")).agg(
+        F.count_if("_have").alias("_l"), F.count_if("_want").alias("_r"), F.max("_src").alias("_own"))
+    alike = hours.groupBy("source").agg(F.bool_and((F.col("_l") == 1) & (F.col("_r") == 1)).alias("_same"))
+    own = hours.join(alike, "source").filter("_same").select(F.col("source").alias("_s"), "_h", "_own")
+    relabelled = found.join(own, (F.col("source") == F.col("_s")) & (truncate_hour(F.col(axis)) == F.col("_h")), "left")
+    return relabelled.select("source", axis, F.coalesce("_own", "src").alias("src"), (F.col("inside") | F.col("_own").isNotNull()).alias("inside"))
 
 
 def axis_positions(df: DataFrame, time: str = "time", out: str = "t_idx") -> DataFrame:

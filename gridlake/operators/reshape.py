@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.operators.regrid import remap_hpx_to_ll
-from gridlake.operators.select import select_channels, select_times, select_times_from, time_slice
+from gridlake.operators.select import (
+    require_labels, select_channels, select_times, select_times_from, time_labels, time_slice,
+)
 
-# Roles of a training store and the coordinates that order its cells (fixed values).
-ROLES = ("inputs", "targets", "constants")
+# The coordinates that order the cells of a training store (fixed values).
 COORDS = ("time", "channel_idx", "face", "height", "width")
 
 
@@ -34,18 +35,38 @@ def stack_columns(df: DataFrame, keys: Sequence[str], variables: Sequence[str],
 
 
 def append_channels(stores: Sequence[tuple[DataFrame, Sequence[str]]], times=None, strict: bool = True) -> DataFrame:
-    """Take channels from several stores and append them; ``times`` is (start, end), a list, a table of times, or None."""
+    """Take channels from several stores and append them; ``times`` is (start, end), a list, a table of times, or None.
+
+    With ``strict``, a channel or time that a store lacks is an error; one job checks all stores.
+    """
+    return append_roles({None: stores}, {None: times}, strict)
+
+
+def append_roles(stores: Mapping[str | None, Sequence[tuple[DataFrame, Sequence[str]]]], times: Mapping, strict: bool = True) -> DataFrame:
+    """``append_channels`` for each role, one below the other, with one check for all of them.
+
+    Channels are numbered anew in each role; ``times`` has the times of each.
+    """
+    parts = []
+    for role, taken in stores.items():
+        at, offset = times.get(role), 0
+        for df, channels in taken:
+            labels = None
+            if "time" in df.columns and at is not None and not isinstance(at, tuple):
+                labels = at.select("time") if isinstance(at, DataFrame) else time_labels(df.sparkSession, at)
+            parts.append((df, list(channels), labels, at if isinstance(at, tuple) and "time" in df.columns else None, offset))
+            offset += len(channels)
+    if strict:
+        require_labels([(df, channels, labels) for df, channels, labels, _, _ in parts])
     out = None
-    offset = 0
-    for df, channels in stores:
-        part = select_channels(df, channels, strict=strict)
-        if times is not None and "time" in df.columns:
-            part = (time_slice(part, *times) if isinstance(times, tuple)
-                    else select_times_from(part, times, strict=strict) if isinstance(times, DataFrame)
-                    else select_times(part, times, strict=strict))
+    for df, channels, labels, span, offset in parts:
+        part = select_channels(df, channels, strict=False)
+        if labels is not None:
+            part = select_times_from(part, labels, strict=False)
+        elif span is not None:
+            part = time_slice(part, *span)
         order = F.array(*[F.lit(c) for c in channels])
         part = part.withColumn("channel_idx", (F.array_position(order, F.col("channel")) - 1 + offset).cast("int"))
-        offset += len(channels)
         out = part if out is None else out.unionByName(part)
     return out
 

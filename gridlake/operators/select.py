@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.cluster import broadcast_within
@@ -30,10 +31,14 @@ def time_slice(df: DataFrame, start=None, end=None, time: str = "time") -> DataF
     return df
 
 
+def time_labels(spark: SparkSession, times: Sequence[str], time: str = "time") -> DataFrame:
+    """A list of times as a table."""
+    return spark.createDataFrame([(str(t),) for t in times], f"`{time}` string").select(F.col(time).cast("timestamp_ntz").alias(time))
+
+
 def select_times(df: DataFrame, times: Sequence[str], time: str = "time", strict: bool = True) -> DataFrame:
     """Rows at exactly the given times. With ``strict``, a time without any row is an error."""
-    labels = df.sparkSession.createDataFrame([(str(t),) for t in times], f"`{time}` string")
-    labels = labels.select(F.col(time).cast("timestamp_ntz").alias(time))
+    labels = time_labels(df.sparkSession, times, time)
     between = time_slice(df, min(map(str, times)), max(map(str, times)), time) if times else df
     return select_times_from(between, labels, time, strict, rows=len(times))
 
@@ -62,6 +67,30 @@ def _require(df: DataFrame, column: str, labels: Sequence[Column], names: Sequen
         raise MissingLabel(f"{column} not in field: {absent}")
 
 
+def require_labels(parts: Sequence[tuple[DataFrame, Sequence[str], DataFrame | None]], channel: str = "channel", time: str = "time") -> None:
+    """Fail unless each part (field, channels, times or None) holds all its channels and all its times; one job for all.
+
+    A time must be there in some row of the chosen channels. Each field is read once, for the distinct labels of both.
+    """
+    wanted, seen = [], []
+    for i, (df, channels, times) in enumerate(parts):
+        of = F.lit(i).alias("part")
+        names = df.sparkSession.createDataFrame([(c,) for c in channels], "label string")
+        wanted.append(names.select(of, F.lit(channel).alias("what"), "label"))
+        labels = [F.struct(F.lit(channel).alias("what"), F.col(channel).cast("string").alias("label"))]
+        if times is not None:
+            wanted.append(times.select(of, F.lit(time).alias("what"), F.col(time).cast("string").alias("label")))
+            labels.append(F.struct(F.lit(time).alias("what"), F.col(time).cast("string").alias("label")))
+        chosen = df.filter(F.col(channel).isin(list(channels)))
+        seen.append(chosen.select(of, F.explode(F.array(*labels)).alias("_l")).select("part", "_l.what", "_l.label").distinct())
+    if not wanted:
+        return
+    union = lambda dfs: functools.reduce(DataFrame.unionByName, dfs)
+    absent = union(wanted).join(union(seen), ["part", "what", "label"], "left_anti").orderBy("part", "what", "label").take(20)
+    if absent:
+        raise MissingLabel("not in field: " + ", ".join(f"{r['what']} {r['label']} (part {r['part']})" for r in absent))
+
+
 def select_level(df: DataFrame, level: float, column: str = "level") -> DataFrame:
     """Keep one level and drop the level column."""
     return df.filter(F.col(column) == F.lit(level)).drop(column)

@@ -42,11 +42,6 @@ def day_chunks(source: SparkSession | DataFrame, start, end, days: int) -> DataF
     )
 
 
-def chunk_of(day: Column, start: Column, days: int) -> Column:
-    """The chunk a day falls in."""
-    return F.floor(F.datediff(day, start) / F.lit(days)).cast("bigint")
-
-
 def request_manifest(source: SparkSession | DataFrame, start_year, end_year, step_hours: int) -> DataFrame:
     """One row per (year, month, day, hour) to request. Only dates that exist are listed."""
     one = source.range(1) if isinstance(source, SparkSession) else source

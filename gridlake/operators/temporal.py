@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,24 +12,29 @@ from gridlake.cluster import broadcast_within, stage_table
 from gridlake.functions.timeaxis import (
     elapsed_seconds, epoch_seconds, freq_seconds, truncate_hour, window_rows, year_block,
 )
-from gridlake.operators.axis import axis_map, axis_positions, with_valid_neighbours
+from gridlake.operators.axis import axis_map, axis_maps, axis_positions, with_valid_neighbours
 
 # Steps of the time axis per block of a rolling window.
 ROLLING_BLOCK = 4096
 
 
-def _over_trailing_rows(df: DataFrame, keys: Sequence[str], time: str, n: int, step: str | None, make) -> DataFrame:
+def _over_trailing_rows(df: DataFrame, keys: Sequence[str], time: str, n: int, step: str | None, make,
+                        axis: DataFrame | None = None) -> DataFrame:
     """Evaluate ``make(window)`` over the trailing ``n`` places of the time axis, per series.
 
     Places are counted on the axis, so a row that is absent counts as a missing value. A regular
-    axis needs only its ``step``; otherwise the distinct times are numbered first, which reads the
-    time column once. A series is cut into blocks; the last n-1 rows of a block are also handed to
+    axis needs only its ``step``. Otherwise its times are numbered first: those of ``axis``, if the caller has
+    them (a row at another time is an error), else the field's own, which reads the time column once more. A series is cut into blocks; the last n-1 rows of a block are also handed to
     the next block, where they only serve as history.
     """
     if n < 1:
         raise ValueError(f"window of {n} rows")
     if step is not None:        # the caller's word that the axis is regular
         placed = df.withColumn("_i", F.floor(epoch_seconds(F.col(time)) / F.lit(freq_seconds(step))).cast("bigint"))
+    elif axis is not None:
+        places = axis_positions(axis, time, "_place")
+        lost = F.raise_error(F.concat(F.lit("not on the axis: "), F.col(time).cast("string"))).cast("bigint")
+        placed = df.join(places, time, "left").withColumn("_i", F.coalesce(F.col("_place"), lost)).drop("_place")
     else:
         placed = df.join(stage_table(axis_positions(df, time, "_i"), "axis"), time)
     size = max(n, ROLLING_BLOCK)
@@ -52,7 +58,8 @@ def rolling_sum(df: DataFrame, n: int, keys: Sequence[str] = ("cell",), time: st
 
 
 def trailing_mean(df: DataFrame, n: int, keys: Sequence[str] = ("cell",), time: str = "time",
-                  value: str = "value", out: str | None = None, step: str | None = None) -> DataFrame:
+                  value: str = "value", out: str | None = None, step: str | None = None,
+                  axis: DataFrame | None = None) -> DataFrame:
     """Mean of the trailing n steps; missing unless all n values are there.
 
     Slice times before this: the first n-1 steps of the slice are missing.
@@ -61,15 +68,15 @@ def trailing_mean(df: DataFrame, n: int, keys: Sequence[str] = ("cell",), time:
     mean = lambda d, w: d.withColumn(
         out, F.when(F.count(value).over(w) == n, F.sum(value).over(w) / n)
     )
-    done = _over_trailing_rows(df, keys, time, n, step, mean)
+    done = _over_trailing_rows(df, keys, time, n, step, mean, axis)
     return done if out == value else done.drop(value)
 
 
 def trailing_mean_over(df: DataFrame, window: str, dt: str, **kwargs) -> DataFrame:
     """``trailing_mean`` with the window given as a length: ``"2D"`` at ``"3h"`` is 16 places of the axis.
 
-    The places are the field's distinct times, whatever lies between them; ``step`` promises that they
-    are regular and saves numbering them.
+    The places are the field's distinct times, whatever lies between them; ``axis`` gives them as a table, and
+    ``step`` promises that they are regular and saves numbering them.
     """
     return trailing_mean(df, window_rows(window, dt), **kwargs)
 
@@ -161,15 +168,17 @@ def same_time_axis(df: DataFrame, spine: DataFrame, time: str = "time") -> bool:
 
 
 def align_to_axis(df: DataFrame, spine: DataFrame, time: str = "time", value: str = "value") -> DataFrame:
-    """Put a field on the spine's times: relabel when the axes agree to the hour, else fill forward.
+    """Put a field on the spine's times: relabel when the axes agree to the hour, else fill forward."""
+    return align_to_axes({"": df}, spine, time, value)[""]
 
-    The field's time column is read once; its distinct times serve both the comparison and the
-    search.
+
+def align_to_axes(fields: Mapping[str, DataFrame], spine: DataFrame, time: str = "time", value: str = "value") -> dict[str, DataFrame]:
+    """``align_to_axis`` for many fields with one job on their labels.
+
+    The labels of all fields are searched in one pass (``axis_maps``), which also tells the fields that agree with
+    the spine to the hour; the result is written once and each field meets its own rows of it by equality.
     """
-    times = stage_table(df.select(time).distinct(), "times")
-    if same_time_axis(times, spine, time):
-        labels = spine.select(F.col(time).alias("_target"), truncate_hour(F.col(time)).alias("_h"))
-        return df.join(labels, truncate_hour(F.col(time)) == F.col("_h")).select(*[
-            F.col("_target").alias(time) if c == time else F.col(c) for c in df.columns
-        ])
-    return reindex_ffill(df, spine, time, value, source_times=times)
+    names = list(fields)
+    labels = functools.reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("source"), time) for name, df in fields.items()])
+    maps = stage_table(axis_maps(labels, spine, time, "ffill", names, same_hours=True), "axis")
+    return {name: _take_from(df, maps.filter(F.col("source") == name).drop("source"), time, value, None) for name, df in fields.items()}

@@ -7,6 +7,7 @@ when the caller writes it. Where a stage is read more than once by later ones, `
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -18,10 +19,11 @@ from gridlake.functions import healpix, physics
 from gridlake.operators import mask as masks
 from gridlake.operators import regrid, select, stats, temporal
 from gridlake.operators.align import align_inner
-from gridlake.operators.reshape import append_channels, stack_channels, variable_files
+from gridlake.operators.reshape import append_roles, stack_channels, variable_files
 from gridlake.operators.spine import densify, hpx_cells
 from gridlake.sources import fields as src
 from gridlake.sources import granules as gr
+from gridlake.sources.parts import stage_parts
 
 LL_KEYS = ("lat_idx", "lon_idx")
 
@@ -124,14 +126,13 @@ def remap_job(df: DataFrame, nside: int, nlat: int, nlon: int, start=None, end=N
 
 
 def trailing_average_job(df: DataFrame, window: str, dt: str, start=None, end=None,
-                         keys: Sequence[str] = ("pix",)) -> DataFrame:
+                         keys: Sequence[str] = ("pix",), axis: DataFrame | None = None) -> DataFrame:
     """Slice, then average over the trailing window; the first steps of the slice are missing."""
-    return temporal.trailing_mean_over(select.time_slice(df, start, end), window, dt, keys=keys)
+    return temporal.trailing_mean_over(select.time_slice(df, start, end), window, dt, keys=keys, axis=axis)
 
 
-def standardise(df: DataFrame, variable: str, spine: DataFrame, start=None, end=None,
-                log_epsilon: float | None = None) -> DataFrame:
-    """One stored variable as ``(time, pix, value)`` on the store's time axis."""
+def standardise(df: DataFrame, variable: str, start=None, end=None, log_epsilon: float | None = None) -> DataFrame:
+    """One stored variable as ``(time, pix, value)``, on its own times."""
     df = src.rename_conventions(df, variable)
     if "varlev" in df.columns:
         df = select.first_varlev(df)
@@ -141,27 +142,30 @@ def standardise(df: DataFrame, variable: str, spine: DataFrame, start=None, end=
     df = df.select("time", "pix", "value")
     if log_epsilon is not None:
         df = df.withColumn("value", physics.log_scale(F.col("value"), log_epsilon))
-    return temporal.align_to_axis(df, spine)
+    return df
 
 
 def compile_training(inputs: Mapping[str, DataFrame], outputs: Mapping[str, DataFrame],
-                     constants: Mapping[str, DataFrame], spine: DataFrame, start=None, end=None,
+                     constants: Mapping[str, DataFrame] | DataFrame, spine: DataFrame, start=None, end=None,
                      log_epsilon: Mapping[str, float] | None = None) -> DataFrame:
     """All roles of a training store in long form: ``(role, channel, channel_idx, time, pix, value)``.
 
     Without outputs the inputs are the targets; a variable in both is read from the output's field.
-    Constants carry no time.
+    Constants carry no time; they are fields by name, or one table (channel, channel_idx, pix, value). One job on the labels of all variables puts them on the spine's times.
     """
     scaling = log_epsilon or {}
     chosen = variable_files(inputs, outputs)
-    ready = {name: standardise(df, name, spine, start, end, scaling.get(name)) for name, df in chosen.items()}
+    ready = temporal.align_to_axes({name: standardise(df, name, start, end, scaling.get(name)) for name, df in chosen.items()}, spine)
     targets = list(outputs or inputs)
     store = None
     for name, df in ready.items():
         places = [(role, names.index(name)) for role, names in (("inputs", list(inputs)), ("targets", targets)) if name in names]
         part = in_roles(df, name, places)
         store = part if store is None else store.unionByName(part)
-    if constants:
+    if isinstance(constants, DataFrame):
+        store = store.unionByName(constants.select(F.lit("constants").alias("role"), "channel", "channel_idx",
+                                                   F.lit(None).cast("timestamp_ntz").alias("time"), "pix", "value"))
+    elif constants:
         still = {name: df.select(F.lit(None).cast("timestamp_ntz").alias("time"), "pix", "value")
                  for name, df in constants.items()}
         store = store.unionByName(stack_channels(still, "constants"))
@@ -188,14 +192,11 @@ def merge_training(stores: Mapping[str, Sequence[tuple[DataFrame, Sequence[str]]
                    strict: bool = True) -> DataFrame:
     """Chosen channels of several stores as one; ``times`` applies to inputs and targets.
 
-    As a table of times (``time_spine``) it selects exactly these and, if ``strict``, each must be there.
+    As a table of times (``time_spine``) it selects exactly these and, if ``strict``, each must be there; one job
+    checks the channels and times of all parts.
     """
-    out = None
-    for role, parts in stores.items():
-        within = None if role == "constants" else times
-        merged = append_channels([(df.filter(F.col("role") == role), names) for df, names in parts], within, strict)
-        out = merged if out is None else out.unionByName(merged)
-    return out
+    roles = {role: [(df.filter(F.col("role") == role), names) for df, names in parts] for role, parts in stores.items()}
+    return append_roles(roles, {role: None if role == "constants" else times for role in roles}, strict)
 
 
 @dataclass(frozen=True)
@@ -214,15 +215,17 @@ class TrainingSet:
     grid: IndexGrid = field(default_factory=IndexGrid)
     mask_south: bool = True
     wrap: str = "clamp"
+    period: str = "year"        # of the folders that stored stages are cut into
 
 
 def prepare_training_set(params: TrainingSet, soil: DataFrame, sp: DataFrame, td: DataFrame, cells: DataFrame,
                          listing: DataFrame, edges: DataFrame, spine: DataFrame, times: Column,
-                         ll_cells: DataFrame) -> DataFrame:
+                         ll_cells: DataFrame, edge_rows: int | None = None) -> DataFrame:
     """From stored fields to a training store, in the order of the stages.
 
     ``ll_cells(lat_idx, lon_idx, lat, lon)`` is the target lat/lon grid and ``times`` the array of
-    target times. Fields that several later stages read are written once to the shared folder.
+    target times; ``edge_rows`` bounds the number of edges. Fields that several later stages read are written once to
+    the shared folder, cut by time and laid out along the cells (``sources.parts``).
     """
     p = params
     span = {"start": p.start, "end": p.end}
@@ -230,22 +233,31 @@ def prepare_training_set(params: TrainingSet, soil: DataFrame, sp: DataFrame, td
     q2m = derive_q2m(sp, td, **span)
     sat = process_satellite(cells, listing, spine, ll_cells.select("lat"), ll_cells.select("lon"), p.grid, (p.nlat, p.nlon))
     sat = sat.join(broadcast_within(ll_cells, p.nlat * p.nlon), ["lat", "lon"]).select("time", *LL_KEYS, "value")
-    sat = stage_table(densify(sat, ll_cells, LL_KEYS, times), "satellite")
-    ndvi = impute_job(sat, p.satellite_fill, **span)
+    ndvi = impute_job(densify(sat, ll_cells, LL_KEYS, times), p.satellite_fill, **span)
 
+    # All variables cross to the cells together, and lie there cut by variable and time.
     spark = soil.sparkSession
-    hpx = stage_table(hpx_cells(spark, p.nside), "cells")
-    weights = stage_table(regrid.ll_to_hpx_weights(hpx, p.nlat, p.nlon, wrap=p.wrap), "weights")
-    mask = stage_table(masks.icesheet_mask(hpx, edges, -60.0 if p.mask_south else None), "mask")
-    remap = lambda df: remap_job(df, p.nside, p.nlat, p.nlon, weights=weights)
-    q2m_mean = stage_table(trailing_average_job(remap(q2m), p.window, p.freq), "q2m")
-    ndvi = stage_table(mask_job(remap(ndvi), p.nside, edges, p.satellite_fill, mask=mask), "ndvi")
-    soil = stage_table(mask_job(remap(soil), p.nside, edges, p.ocean_fill, mask=mask), "soil")
-
-    ranges = {"ndvi_annual_range": land_constants(ndvi, "ndvi", metas=["annual_range"]),
-              "swvl1_min": land_constants(soil, "swvl1", metas=["min"]),
-              "swvl1_max": land_constants(soil, "swvl1", metas=["max"])}
-    constants = {name: df.withColumnRenamed(name, "value") for name, df in ranges.items()}
+    hpx = hpx_cells(spark, p.nside)
+    weights = regrid.ll_to_hpx_weights(hpx, p.nlat, p.nlon, wrap=p.wrap)
+    masked = broadcast_within(masks.icesheet_mask(hpx, edges, -60.0 if p.mask_south else None, rows=edge_rows)
+                              .filter("mask").select("pix", F.lit(True).alias("_masked")), healpix.npix(p.nside))
+    every = functools.reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("variable"), "time", *LL_KEYS, "value") for name, df in (("ndvi", ndvi), ("swvl1", soil), ("q2m", q2m))])
+    on_cells = regrid.apply_weights(every, weights, LL_KEYS, ["pix"], ("variable", "time"), rows=4 * healpix.npix(p.nside))
+    fill = F.when(F.col("variable") == "ndvi", F.lit(p.satellite_fill)).when(F.col("variable") == "swvl1", F.lit(p.ocean_fill))
+    on_cells = on_cells.join(masked, "pix", "left").withColumn(
+        "value", F.when(F.col("_masked") & fill.isNotNull(), fill).otherwise(F.col("value"))).drop("_masked")
+    stored = stage_parts(on_cells, "fields", p.period, nside=p.nside, by=["variable"])
+    one = lambda name: stored.filter(F.col("variable") == name).select("time", "pix", "value")
+    mean = trailing_average_job(one("q2m"), p.window, p.freq, axis=one("q2m").select("time"))
+    q2m_mean = stage_parts(mean, "q2m", p.period, nside=p.nside)
+
+    ranges = stats.clim_metas(stored.filter(F.col("variable").isin("ndvi", "swvl1")), "c", keys=("variable", "pix"))
+    kinds = [("ndvi", "annual_range"), ("swvl1", "min"), ("swvl1", "max")]
+    still = ranges.select("variable", "pix", F.explode(F.array(*[
+        F.struct(F.lit(v).alias("of"), F.lit(f"{v}_{m}").alias("channel"), F.lit(i).alias("channel_idx"), F.col(f"c_{m}").alias("value"))
+        for i, (v, m) in enumerate(kinds)])).alias("c")).filter(F.col("c.of") == F.col("variable"))
     return compile_training(
-        {"ndvi": ndvi, "swvl1": soil, "q2m-mean": q2m_mean}, {"ndvi": ndvi, "swvl1": soil}, constants, spine, **span
+        {"ndvi": one("ndvi"), "swvl1": one("swvl1"), "q2m-mean": q2m_mean}, {"ndvi": one("ndvi"), "swvl1": one("swvl1")},
+        still.select("c.channel", "c.channel_idx", "pix", "c.value"), spine, **span
     )

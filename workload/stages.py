@@ -222,18 +222,20 @@ def merge(spark, d):
     }, ("1996-01-01", "2000-12-31")))
 
 
+# Every third label of the store's own axis, all of which must be there.
 @query("K8_merge_exact_axis", f"""
 WITH {COMPILED_SQL},
-months AS (SELECT unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '2000-12-31', INTERVAL 1 DAY)) AS time),
-chosen AS (SELECT time FROM months WHERE dayofmonth(time) = 1 AND time IN (SELECT time FROM compiled))
+chosen AS (SELECT unnest(generate_series(TIMESTAMP '{STORE_START}', TIMESTAMP '{STORE_END}', INTERVAL 135 DAY)) AS time)
 SELECT {STORE_COLUMNS_SQL} FROM (
   SELECT role, channel, 0 AS channel_idx, time, pix, value FROM compiled WHERE role = 'inputs' AND channel = 'A'
-) m WHERE time IN (SELECT time FROM chosen)
+  UNION ALL SELECT role, channel, 1, time, pix, value FROM compiled WHERE role = 'inputs' AND channel = 'R'
+  UNION ALL SELECT role, channel, 0, time, pix, value FROM compiled WHERE role = 'targets' AND channel = 'N'
+) m JOIN chosen USING (time)
 """)
 def merge_exact_axis(spark, d):
     store = src.staged(compiled(spark, d), "store")
-    axis = time_spine(spark, "1996-01-01", "2000-12-31", "D").filter(F.dayofmonth("time") == 1)
-    return store_rows(jobs.merge_training({"inputs": [(store, ["A"])]}, axis, strict=False))
+    axis = time_spine(spark, STORE_START, STORE_END, "135D")
+    return store_rows(jobs.merge_training({"inputs": [(store, ["A"]), (store, ["R"])], "targets": [(store, ["N"])]}, axis, strict=True))
 
 
 # --- the whole build ----------------------------------------------------------------------------
@@ -316,6 +318,7 @@ def whole_build(spark, d):
         BUILD, soil=field(F.sqrt("price") / 100), sp=field(F.lit(90000.0) + 100 * quantity), td=field(F.lit(250.0) + quantity),
         cells=granules, listing=granules.select("path").distinct(), edges=fx.polygon_edges(spark),
         spine=time_spine(spark, fx.CLIM_START, fx.CLIM_END, "30D"), times=times, ll_cells=cells_ll,
+        edge_rows=len(fx.EDGES),
     ))
 
 

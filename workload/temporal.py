@@ -44,7 +44,7 @@ SELECT cell, time, {srnd('CASE WHEN count(value) OVER w = 4 THEN avg(value) OVER
 FROM obs WINDOW w AS (PARTITION BY cell ORDER BY time ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)
 """)
 def trailing_mean(spark, d):
-    return by_cell(tm.trailing_mean_over(fx.obs(spark, d), "4D", "D"))
+    return by_cell(tm.trailing_mean_over(fx.obs(spark, d), "4D", "D", axis=time_spine(spark, fx.OBS_START, fx.OBS_END, "D")))
 
 
 # The field arrives without four days in the middle and the last week; these follow, and the means with them.
