@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from gridlake.cluster import scratch_path
+from gridlake.sources.fields import is_complete, mark_complete
+
 
 class IncompleteField(ValueError):
     """A field lacks cells or values that it must have."""
@@ -21,14 +26,47 @@ def completeness_report(df: DataFrame, expected: int | None = None, value: str =
     )
 
 
+def observe_complete(df: DataFrame, expected: int | None = None, value: str = "value") -> tuple[DataFrame, Callable[[], None]]:
+    """The field with its rows and missing values counted by whatever job runs over it, and the check to call after that job.
+
+    No job is started for the counts: they are observed metrics of the plan.
+    """
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(value).isNull()).alias("n_missing"))
+
+    def check() -> None:
+        rows, missing = seen.get["n_rows"], seen.get["n_missing"]
+        if missing or (expected is not None and rows != expected):
+            raise IncompleteField(f"{missing} missing values in {rows} rows; expected {rows if expected is None else expected} rows")
+
+    return counted, check
+
+
+def write_complete(df: DataFrame, path: str, expected: int | None = None, value: str = "value", overwrite: bool = False,
+                   partition_by: Sequence[str] = ()) -> bool:
+    """``write_field`` for a field that must be complete: its success marker is set only if the check holds.
+
+    The rows are counted while they are written, in the one job that writes them. A field that fails leaves files
+    without a marker, which count as not there, and raises ``IncompleteField``.
+    """
+    spark = df.sparkSession
+    if is_complete(spark, path) and not overwrite:
+        return False
+    counted, check = observe_complete(df, expected, value)
+    counted.write.mode("overwrite").partitionBy(*partition_by).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    check()
+    mark_complete(spark, path)
+    return True
+
+
 def require_complete(df: DataFrame, expected: int | None = None, value: str = "value") -> DataFrame:
-    """The field itself, after checking that no value is missing and the row count is as expected."""
-    report = completeness_report(df, expected, value).first()
-    if not report["complete"]:
-        raise IncompleteField(
-            f"{report['n_missing']} missing values in {report['n_rows']} rows; expected {report['n_expected']} rows"
-        )
-    return df
+    """The field itself, written once to the shared folder, if no value is missing and the row count is as expected.
+
+    What comes before runs once: the check rides on the write (``write_complete``), and the stored rows are what is returned.
+    """
+    path = scratch_path(df.sparkSession, "complete")
+    write_complete(df, path, expected, value)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def require_present(df: DataFrame, value: str = "value") -> DataFrame:

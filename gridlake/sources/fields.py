@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridlake.cluster import stage_table
 from gridlake.functions.geo import lon_to_360
+from gridlake.sources.parts import write_parts
 
 # Names that older or other files give to the standard coordinates (fixed values).
 OLD_NAMES = {
@@ -37,20 +38,47 @@ def scan_field(spark: SparkSession, path, variable: str, keys: Sequence, value:
     return df.select(*keys, v.alias(value))
 
 
-def scan_union(spark: SparkSession, paths: Sequence[str], keys: Sequence[str], check: bool = False) -> DataFrame:
+def scan_union(spark: SparkSession, paths: Sequence[str], keys: Sequence[str], check: bool = False, along: str | None = None) -> DataFrame:
     """Read many files of one field as one table. Files are matched by column name.
 
-    A column that only some files have is missing in the rows of the others. ``check=True`` makes two rows for one label an error. It aggregates over the key columns of the
-    whole field, so it is for newly arrived files rather than for every read.
+    A column that only some files have is missing in the rows of the others. ``check=True`` makes two rows for one label an
+    error. With ``along``, the coordinate that tells the files apart, only files whose stretches of it overlap are
+    searched for such rows; without, the key columns of the whole field are.
     """
     df = spark.read.option("mergeSchema", True).parquet(*paths)
     if check:
-        repeated = duplicate_labels(df, keys).limit(1).collect()
+        suspects = df if along is None else overlapping_rows(df, along)
+        repeated = duplicate_labels(suspects, keys).limit(1).collect()
         if repeated:
             raise ValueError(f"label occurs more than once: {repeated[0].asDict()}")
     return df
 
 
+def file_stretches(df: DataFrame, along: str) -> DataFrame:
+    """One row for each file of a scan: ``file``, first and last label (``low``, ``high``), ``rows``, and ``stretch``.
+
+    Files are swept in order of their first label: one that starts after all files before it have ended begins a
+    new stretch, so files of different stretches share no label. Only the coordinate is read, and what is sorted is
+    one row a file. Files without a label (no rows, or none with one) belong to no stretch and are not listed.
+    """
+    files = df.select(F.col("_metadata.file_path").alias("file"), along).groupBy("file").agg(
+        F.min(along).alias("low"), F.max(along).alias("high"), F.count(along).alias("rows")).filter("rows > 0")
+    order = Window.orderBy("low", "high", "file")
+    before = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = files.withColumn("_new", F.when(before.isNull() | (F.col("low") > before), 1).otherwise(0))
+    return starts.withColumn("stretch", F.sum("_new").over(order) - 1).drop("_new")
+
+
+def overlapping_rows(df: DataFrame, along: str) -> DataFrame:
+    """The rows of those files of a scan that share a stretch with another file; the other files are not read again."""
+    stretches = file_stretches(df, along)
+    shared = stretches.groupBy("stretch").agg(F.count(F.lit(1)).alias("_n"), F.collect_list("file").alias("_files")).filter("_n > 1")
+    names = [r[0] for r in shared.select(F.explode("_files")).collect()]        # names of files, of those that overlap
+    if not names:
+        return df.limit(0)
+    return df.sparkSession.read.schema(df.schema).parquet(*names)
+
+
 def concat_fields(fields: Sequence[DataFrame]) -> DataFrame:
     """Concatenate fields along a coordinate, matching columns by name.
 
@@ -102,10 +130,22 @@ def with_metadata(df: DataFrame, column: str, attributes: Mapping) -> DataFrame:
     return df.withMetadata(column, merged)
 
 
+def _marker(spark: SparkSession, path: str):
+    """The file system and path of a success marker. Goes through the session's JVM, so not in a Connect session."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()), marker
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether an earlier write to ``path`` finished (its success marker is there)."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    store, marker = _marker(spark, path)
+    return store.exists(marker)
+
+
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """Set the success marker of a folder that was written without one."""
+    store, marker = _marker(spark, path)
+    store.create(marker, True).close()
 
 
 def write_field(df: DataFrame | Callable[[], DataFrame], path: str, overwrite: bool = False,
@@ -197,9 +237,12 @@ def unpack_frames(df: DataFrame, frame: Sequence[str]) -> DataFrame:
     return df.select(*frame, F.posexplode("values").alias("position", "value"))
 
 
-def write_frames(df: DataFrame, path: str, overwrite: bool = False) -> bool:
-    """Packed frames on disk, one folder per role and channel."""
-    return write_field(df, path, overwrite, partition_by=("role", "channel"))
+def write_frames(df: DataFrame, path: str, overwrite: bool = False, period: str = "year", files: int = 4) -> bool:
+    """Packed frames on disk: a folder for each role, channel and period (``sources.parts``), with at most ``files`` files."""
+    if is_complete(df.sparkSession, path) and not overwrite:
+        return False
+    write_parts(df, path, period, cell=[c for c in ("face",) if c in df.columns], files=files, by=["role", "channel"])
+    return True
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from gridlake.functions import physics
 from gridlake.operators import checks, select
 from gridlake.operators import spine as sp
+from gridlake.operators.select import MissingLabel
+from gridlake.operators.spine import time_spine
+from gridlake.plans import jobs
 from gridlake.sources import fields as src
 from gridlake.sources import granules as gr
 
@@ -198,3 +201,75 @@ def test_densify_gives_every_slot(spark, field):
     cells = spark.createDataFrame([(1,), (2,)], "cell bigint")
     got = values(sp.densify(df, cells, ["cell"], sp.regular_times("2024-01-01", "2024-01-02", "D")), "cell", "time")
     assert got == {(1, "2024-01-01T00:00:00"): None, (1, "2024-01-02T00:00:00"): 5.0, (2, "2024-01-01T00:00:00"): None, (2, "2024-01-02T00:00:00"): None}
+
+
+def test_files_are_ordered_and_only_overlapping_ones_searched(spark, field, tmp_path, monkeypatch):
+    weeks = {"c": range(15, 22), "a": range(1, 8), "b": range(8, 15), "late": range(20, 25)}
+    for name, days in weeks.items():
+        rows = [(c, f"2024-01-{d:02d}", float(d)) for c in (1, 2) for d in days if not (name == "late" and d < 22 and c == 2)]
+        field(rows).coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    apart = [f"{tmp_path}/{n}" for n in "cab"]
+    searched = []
+    plain = src.duplicate_labels
+    monkeypatch.setattr(src, "duplicate_labels", lambda df, keys: searched.append(df) or plain(df, keys))
+    assert src.scan_union(spark, apart, ["cell", "time"], check=True, along="time").count() == 42
+    assert searched.pop().count() == 0                                   # no file overlaps another: nothing is searched
+    order = [(r.file.split("/")[-2], r.rows, r.stretch) for r in src.file_stretches(spark.read.parquet(*apart), "time").orderBy("low").collect()]
+    assert order == [("a", 14, 0), ("b", 14, 1), ("c", 14, 2)]
+    with pytest.raises(ValueError, match="more than once"):
+        src.scan_union(spark, [*apart, f"{tmp_path}/late"], ["cell", "time"], check=True, along="time")
+    assert {f.split("/")[-2] for f in searched[0].inputFiles()} == {"c", "late"}
+    # Overlap without a common label is no error.
+    field([(3, "2024-01-02", 1.0), (3, "2024-01-20", 1.0)]).coalesce(1).write.parquet(f"{tmp_path}/other")
+    assert src.scan_union(spark, [*apart, f"{tmp_path}/other"], ["cell", "time"], check=True, along="time").count() == 44
+
+
+def test_checks_ride_on_the_write(spark, field, tmp_path):
+    def jobs_of(name, work):
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            work()
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    df = field([(c, "2024-01-01", float(c)) for c in range(50)])
+    plain = jobs_of("plain", lambda: df.write.parquet(f"{tmp_path}/plain"))
+    assert jobs_of("checked", lambda: checks.write_complete(df, f"{tmp_path}/good", 50)) == plain
+    assert src.is_complete(spark, f"{tmp_path}/good") and spark.read.parquet(f"{tmp_path}/good").count() == 50
+    assert not checks.write_complete(df, f"{tmp_path}/good", 51)           # is there: nothing is done
+    for bad, expected in ((df, 49), (df.withColumn("value", F.when(F.col("cell") != 7, F.col("value"))), 50)):
+        with pytest.raises(checks.IncompleteField):
+            checks.write_complete(bad, f"{tmp_path}/bad", expected)
+        assert not src.is_complete(spark, f"{tmp_path}/bad")
+    assert checks.write_complete(df, f"{tmp_path}/bad", 50) and src.is_complete(spark, f"{tmp_path}/bad")
+    empty = df.limit(0)
+    assert checks.require_complete(empty, 0).count() == 0
+    with pytest.raises(checks.IncompleteField):
+        checks.require_complete(empty, 1)
+
+
+def test_strict_merge_names_what_is_missing(spark):
+    rows = [("inputs", ch, 0, t, 0, 1.0) for ch in ("a", "b") for t in ("2024-01-01", "2024-01-02")]
+    store = spark.createDataFrame(rows, "role string, channel string, channel_idx int, time string, pix bigint, value double") \
+        .withColumn("time", F.col("time").cast("timestamp_ntz"))
+    axis = lambda end: time_spine(spark, "2024-01-01", end, "D")
+    assert jobs.merge_training({"inputs": [(store, ["a"]), (store, ["b"])]}, axis("2024-01-02")).count() == 4
+    with pytest.raises(MissingLabel, match="2024-01-03"):
+        jobs.merge_training({"inputs": [(store, ["a"])]}, axis("2024-01-03"))
+    with pytest.raises(MissingLabel, match="channel c"):
+        jobs.merge_training({"inputs": [(store, ["a", "c"])]}, axis("2024-01-02"))
+    with pytest.raises(MissingLabel, match="channel a"):
+        jobs.merge_training({"inputs": [(store, ["a"])], "targets": [(store, ["a"])]}, axis("2024-01-02"))
+    assert jobs.merge_training({"inputs": [(store, ["a"])]}, axis("2024-01-03"), strict=False).count() == 2
+
+
+def test_frames_are_cut_by_time(spark, tmp_path):
+    rows = [("inputs", ch, 0, f"{y}-01-0{d}", p, 1.0) for ch in "ab" for y in (2023, 2024) for d in (1, 2) for p in range(12)]
+    store = spark.createDataFrame(rows, "role string, channel string, channel_idx int, time string, pix bigint, value double") \
+        .withColumn("time", F.col("time").cast("timestamp_ntz"))
+    path = f"{tmp_path}/frames"
+    assert src.write_frames(jobs.pack_training(store, 1), path, files=2) and not src.write_frames(jobs.pack_training(store, 1), path)
+    back = spark.read.parquet(path)
+    assert back.count() == 2 * 4 * 12 and {r[0] for r in back.select("part").distinct().collect()} == {"y2023", "y2024"}
+    assert len(back.inputFiles()) <= 2 * 2 * 2

@@ -30,6 +30,31 @@ def scan_union(spark, d):
     return both.select("cell", "time", rnd("value").alias("value"))
 
 
+def weekly_files(spark, d):
+    """Files of one field with a week each, as a field arrives over time."""
+    field = stage_table(fx.obs(spark, d), "obs")
+    week = F.floor((F.dayofmonth("time") - 1) / 7)
+    return [f for k in range(5) for f in stage_table(field.filter(week == k).coalesce(1), "week").inputFiles()]
+
+
+@query("A2_concat_fields", f"WITH {fx.OBS_SQL} SELECT cell, time, {srnd('value')} AS value FROM obs")
+def concat_fields(spark, d):
+    files = weekly_files(spark, d)
+    some = src.scan_union(spark, files[::2], ["cell", "time"], check=True, along="time")
+    rest = src.scan_union(spark, files[1::2], ["cell", "time"], check=True, along="time")
+    return src.concat_fields([some, rest]).select("cell", "time", rnd("value").alias("value"))
+
+
+@query("A2_file_stretches", f"""
+WITH {fx.OBS_SQL}
+SELECT CAST((dayofmonth(time) - 1) // 7 AS BIGINT) AS stretch, min(time) AS low, max(time) AS high, count(*) AS rows
+FROM obs GROUP BY 1
+""")
+def file_stretches(spark, d):
+    field = spark.read.parquet(*reversed(weekly_files(spark, d)))
+    return src.file_stretches(field, "time").select("stretch", "low", "high", "rows")
+
+
 @query("A2_duplicate_labels", """
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
 """)
