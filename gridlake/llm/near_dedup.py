@@ -14,8 +14,8 @@ steps that never pair up a whole bucket:
 
 1. Every bucket has a pivot, the member that shares buckets with most others. Its pairs with the other
    members are verified, and the links give preliminary components.
-2. Buckets that still hold several components are searched in tiles of two blocks of members. Pairs of
-   different components whose sketches agree well enough, each in one of its buckets, are verified where the
+2. Buckets that still hold several components are searched in tiles of two blocks of members, of which one at
+   least lies outside the bucket's largest component. Pairs of different components whose sketches agree well enough, each in one of its buckets, are verified where the
    tile's texts have been brought together, so that a text travels once for a tile and not for each pair.
 
 A pair inside one component needs no test: its link would change nothing.
@@ -41,6 +41,7 @@ SHINGLE_WORDS = 5
 PERCENT = 85               # link from 100 * intersection >= PERCENT * union on, unless told otherwise
 MISS = 2e-6                # probability that a pair at the threshold shares no band, at most
 MOST_PLACES = 176          # of a sketch
+SALT_ROWS = 512            # members of a bucket that meet what is known of it in one place, about
 BLOCK_NODES = 256          # a tile compares so many members of a bucket with as many others, about
 
 _SHINGLE = mix(np.arange(1, SHINGLE_WORDS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -326,15 +327,33 @@ def _labelled(nodes: DataFrame, labels: DataFrame, column: str) -> DataFrame:
         "label", F.coalesce("label", F.col(column)))
 
 
+def _salted(rows: DataFrame) -> DataFrame:
+    """Rows (bucket, size, node) with ``salt``: a bucket has one for every SALT_ROWS members, about."""
+    return rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / SALT_ROWS)))
+
+
+def _for_salts(buckets: DataFrame) -> DataFrame:
+    """Rows (bucket, size) once for each salt of the bucket."""
+    return buckets.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("size") / SALT_ROWS) - 1)))
+
+
 def _links_between(shared: DataFrame, nodes: DataFrame, texts: DataFrame, labels: DataFrame, like: Likeness) -> DataFrame:
     """All links (a, b) that are needed to join the components of nodes that share buckets."""
     known = _labelled(shared, labels, "node")
-    mixed = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    parts = F.ceil(F.col("size") / BLOCK_NODES).cast("int")
-    members = (known.join(mixed.select("bucket"), "bucket").withColumn("parts", parts)
-               .withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int"))
+    counts = known.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    mixed = counts.groupBy("bucket").agg(
+        F.max(F.struct("n", (-F.col("label")).alias("minus"))).alias("most"), F.sum("n").alias("size"), F.count("*").alias("labels"),
+    ).filter("labels > 1")
+    # The largest component of a bucket is compared with the others, not with itself.
+    tiles = lambda n: F.ceil(n / BLOCK_NODES).cast("int")                                 # noqa: E731
+    mixed = _for_salts(mixed).select("bucket", "salt", (-F.col("most.minus")).alias("largest"), tiles(F.col("most.n")).alias("inner"),
+                                     tiles(F.col("size") - F.col("most.n")).alias("outer"))
+    largest = F.col("label") == F.col("largest")
+    spread = lambda n: F.pmod(F.xxhash64("node"), n.cast("long")).cast("int")             # noqa: E731
+    members = (_salted(known).join(mixed, ["bucket", "salt"])
+               .withColumn("block", F.when(largest, F.col("outer") + spread(F.col("inner"))).otherwise(spread(F.col("outer"))))
                .join(nodes.select("node", "bands", "marks"), "node")
-               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+               .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(largest, F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1)))
                .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                        "block", "node", "label", "bands", "marks"))
     close = members.repartition(*_TILE).sortWithinPartitions(*_TILE).mapInArrow(
@@ -374,7 +393,7 @@ def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", per
         F.min("id").alias("node"), F.first("bands").alias("bands"), F.first("marks").alias("marks")), "near-nodes")
 
     member = nodes.select("node", F.explode("bands").alias("bucket"))
-    full = member.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    full = stage_table(member.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "near-sizes")
     shared = stage_table(member.join(full, "bucket"), "near-buckets")
     needed = shared.select("node").distinct()
     texts = rows.join(needed.hint("merge"), rows["id"] == needed["node"]).select("node", "text")
@@ -385,8 +404,8 @@ def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", per
 
     weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
     pivots = shared.join(weight, "node").groupBy("bucket").agg(
-        F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("best"))
-    star = shared.join(pivots, "bucket").select("node", (-F.col("best.minus")).alias("pivot")).filter("node <> pivot")
+        F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("best"), F.max("size").alias("size"))
+    star = _salted(shared).join(_for_salts(pivots).drop("size"), ["bucket", "salt"]).select("node", (-F.col("best.minus")).alias("pivot")).filter("node <> pivot")
     star = star.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     likely = stage_table(star.join(marks.toDF("a", "marks_a"), "a").join(marks.toDF("b", "marks_b"), "b").filter(
         sketches_agree(like, "marks_a", "marks_b")).select("a", "b"), "near-pairs")
@@ -394,7 +413,9 @@ def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", per
     labels = _joined(labels, _links_between(shared, nodes, texts, labels, like))
 
     group = _labelled(nodes.select(*same, "node"), labels, "node").select(*same, F.col("label").alias("component"))
-    out = sketches.select("id", *same).join(group, same, "left")
+    row = sketches.select("id", *same)
+    out = row.filter("n > 0").join(group, same, "left").unionByName(
+        row.filter("n = 0").withColumn("component", F.lit(None).cast("long")))
     return out.select(
         F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),

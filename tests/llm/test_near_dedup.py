@@ -5,6 +5,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from gridlake.llm import near_dedup as nd
 from llm.samples import invented
@@ -138,3 +139,29 @@ def test_bands_follow_from_the_percentage():
         bands, rows = like.shape
         assert (1 - (percent / 100) ** rows) ** bands <= nd.MISS and like.places <= nd.MOST_PLACES
         assert like.least_agree < percent / 100 * like.places or percent == 100
+
+
+def test_a_hot_bucket_of_two_components_makes_few_copies(spark):
+    # 20,000 nodes share a bucket; all but three are known to belong together.
+    n = 20_000
+    shared = spark.range(n).select(F.col("id").alias("node"), F.lit(7).cast("long").alias("bucket"), F.lit(n).cast("long").alias("size"))
+    labels = spark.range(n).select(F.col("id").alias("node"), F.when(F.col("id") < 3, F.lit(0)).otherwise(F.lit(3)).cast("long").alias("label"))
+    like = nd.Likeness()
+    nodes = spark.range(n).select(F.col("id").alias("node"), F.array_repeat(F.lit(7).cast("long"), like.shape[0]).alias("bands"),
+                                  F.expr(f"cast(repeat(chr(int(id % 90 + 33)), {like.places}) as binary)").alias("marks"))
+    texts = spark.range(n).select(F.col("id").alias("node"), F.concat(F.lit("one two three four five six "), (F.col("id") % 90).cast("string")).alias("text"))
+    copies = []
+    plain = type(shared).mapInArrow
+
+    def counted(self, *args, **kwargs):
+        if "marks" in self.columns:
+            copies.append(self.count())
+        return plain(self, *args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(shared), "mapInArrow", counted)
+        nd._links_between(shared, nodes, texts, labels, like).count()
+    # Each of the many goes to one tile, the three to as many as there are blocks: not 20,000 x 79.
+    assert copies and copies[0] <= n + 3 * (n // nd.BLOCK_NODES + 2)
+    salted = nd._salted(shared).groupBy("bucket", "salt").count()
+    assert salted.agg(F.max("count")).first()[0] < 2 * nd.SALT_ROWS
