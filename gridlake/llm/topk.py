@@ -27,19 +27,15 @@ PRODUCT_ROWS = 512         # queries of a tile that are multiplied at once
 
 
 def _pack(rows: DataFrame, scale: int) -> DataFrame:
-    """(dims, block, ids, numbers) of rows (dims, block, id, numbers): a block's distinct rows, as bytes; each
-    number x becomes floor(scale * x)."""
+    """(dims, block, ids, numbers) of rows (dims, block, id, numbers): a block's rows, as bytes; each number x
+    becomes floor(scale * x)."""
     def pack(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         dims, n = key[0].as_py(), t.num_rows
         ids = t.column("id").to_numpy()
         flat = np.floor(scale * t.column("numbers").combine_chunks().flatten().to_numpy().reshape(n, dims))
-        order = np.lexsort((*flat.T[::-1], ids))
-        ids, flat = ids[order], flat[order]
-        fresh = np.ones(n, bool)
-        fresh[1:] = (ids[1:] != ids[:-1]) | (flat[1:] != flat[:-1]).any(axis=1)      # repeated rows count once
         return pa.table({"dims": pa.array([dims], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()),
-                         "ids": pa.array([ids[fresh].tobytes()], pa.binary()),
-                         "numbers": pa.array([flat[fresh].tobytes()], pa.binary())})
+                         "ids": pa.array([ids.tobytes()], pa.binary()),
+                         "numbers": pa.array([flat.tobytes()], pa.binary())})
 
     return rows.groupBy("dims", "block").applyInArrow(pack, "dims int, block int, ids binary, numbers binary")
 
@@ -89,7 +85,8 @@ def exact_top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "
     Components become floor(scale * x), x as double; the score is their inner product, a long (beyond its range
     the nearest long). A row is never found for its own id. Ties go to the smaller id. Vectors that are null or
     hold null or non-finite components take no part, nor do rows with a null id; vectors of another length than
-    the query's are not compared with it. Repeated rows count once.
+    the query's are not compared with it. Every repeated row is a candidate; a repeated query's lists are ranked
+    as one.
     """
     spark = vectors.sparkSession
     x = F.col(embedding).cast("array<double>")
@@ -106,7 +103,7 @@ def exact_top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "
     query_blocks = max(1, -(-n_queries // most))
     shard_rows = min(most, max(LEAST_ROWS, -(-n * query_blocks // tiles)))
     shards = max(1, -(-n // shard_rows))
-    spread = F.xxhash64("id", "numbers")
+    spread = F.xxhash64("id", "numbers", F.monotonically_increasing_id())      # copies of a row go to all blocks
     block = lambda count: F.pmod(spread, F.lit(count)).cast("int")                    # noqa: E731
     ask = stage_table(_pack(rows.filter("asks").withColumn("block", block(query_blocks)).drop("asks"), scale), "top-queries")
     all_ = stage_table(_pack(rows.withColumn("block", block(shards)).drop("asks"), scale), "top-shards")
