@@ -3,7 +3,8 @@
 Each source is a queue of tokens. The output is a line of windows of WINDOW tokens; by deficit round-robin
 every window adds to each source's credit its share of the window, takes whole tokens up to the credit from
 the queue, and leaves what is left (less than a token) as deficit for the next window. When a queue is empty
-its share goes to the others. The windows, one after another, are cut into sequences.
+its share goes to the others, in proportion to their targets. Targets are weights that the caller gives, or else
+the sources' tokens to the power TEMPER. The windows, one after another, are cut into sequences.
 
 What a source has given after w windows is floor(credit(w)), and credit is a straight line between the
 points where a queue runs dry. So no state has to be handed from window to window, or from partition to
@@ -32,6 +33,12 @@ from gridlake.llm.tokens import encoded
 
 LENGTH = 4096
 WINDOW_SEQUENCES = 64
+TEMPER = 0.7               # the power of a source's tokens that is its weight, unless targets are given
+
+
+def tempered(totals: dict[str, int], power: float = TEMPER) -> dict[str, float]:
+    """Target weights of sources: their tokens to a power below 1, so that small sources are seen more often early on."""
+    return {name: float(n) ** power for name, n in totals.items()}
 
 
 @dataclass(frozen=True)
@@ -47,16 +54,13 @@ class Mixture:
 
     @classmethod
     def of(cls, totals: dict[str, int], targets: dict[str, float] | None = None, window: int = LENGTH * WINDOW_SEQUENCES):
-        """``targets`` are relative weights of sources, by default their tokens; sources without one come last."""
+        """``targets`` are relative weights of sources, by default ``tempered``; sources without one come last."""
         names = tuple(sorted(totals))
         amount = np.array([totals[n] for n in names], np.float64)
-        weight = amount.copy() if targets is None else np.array([max(0.0, targets.get(n, 0.0)) for n in names])
+        targets = tempered(totals) if targets is None else targets
+        weight = np.array([max(0.0, targets.get(n, 0.0)) for n in names])
         now, given = 0.0, np.zeros(len(names))
         times, credit, rate = [0.0], [given.copy()], []
-        if targets is None and len(names):          # all queues end together
-            end = amount.sum() / window
-            return cls(names, amount.astype(np.int64), window, np.array([0.0, end]), np.stack([given, amount]),
-                       (amount / amount.sum() * window)[None, :])
         while (left := amount - given).max(initial=0) > 0:
             live = np.where(left > 0, weight, 0.0)
             if not live.any():
@@ -143,7 +147,7 @@ def pack(docs: DataFrame, path: str, end_id: int, targets: dict[str, float] | No
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset and (``with_ids``) ids.
 
     A document's ids end with ``end_id``; a null or empty text is that id alone. A null source counts as an
-    empty name. Sources are an inventory: their token totals (one row each) come to the driver, and each
+    empty name. ``targets`` are relative weights of sources (``Mixture.of``). Sources are an inventory: their token totals (one row each) come to the driver, and each
     window looks at all of them. Repeated rows are packed as often as they occur; null ids stay null.
     ``ids`` are little-endian, two bytes each where the vocabulary allows, else four.
     """

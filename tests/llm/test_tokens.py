@@ -1,5 +1,6 @@
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -112,3 +113,45 @@ def test_mixture_holds_in_every_window():
 
 def test_packing_empty_table(spark, docs):
     assert packing.pack(docs([]), PATH, 2).collect() == []
+
+
+def literal_round_robin(totals, weights, window):
+    """Deficit round-robin as it is told, in fractions: what each source has given after every window."""
+    left = {n: Fraction(v) for n, v in totals.items()}
+    credit, out = {n: Fraction(0) for n in totals}, []
+    while any(left.values()):
+        room = Fraction(window)
+        while room and any(left.values()):                     # shares of empty queues go to the others
+            live = {n: Fraction(weights.get(n, 0)) for n in totals if left[n]}
+            if not any(live.values()):
+                live = {n: left[n] for n in live}
+            whole = sum(live.values())
+            part = min([room, *(left[n] * whole / w for n, w in live.items() if w)])
+            for n, w in live.items():
+                left[n] -= part * w / whole
+                credit[n] += part * w / whole
+            room -= part
+        out.append({n: int(c) for n, c in credit.items()})
+    return out
+
+
+@pytest.mark.parametrize("targets", [None, {"a": 2.0, "b": 1.0}, {"a": 1.0, "b": 5.0, "c": 0.25, "d": 3.0}])
+def test_mixture_is_a_deficit_round_robin(targets):
+    totals = {"a": 70_001, "b": 20_000, "c": 10_003, "d": 17}
+    mix = packing.Mixture.of(totals, targets, window=1000)
+    weights = packing.tempered(totals) if targets is None else targets
+    want = literal_round_robin(totals, weights, 1000)
+    for w, given in enumerate(want):
+        got = dict(zip(mix.names, mix.given(w + 1).tolist()))
+        assert all(abs(got[n] - given[n]) <= 1 for n in totals), w
+    dry = [n for n in totals if want[-2][n] == totals[n]]
+    assert dry and len(dry) < 4                                # some sources run dry on the way
+
+
+def test_sources_run_dry_in_the_registered_query(spark):
+    from gridlake.llm.queries import table
+
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    sizes = {r["source"] or "": r["n"] for r in docs.groupBy("source").agg({"n_chars": "sum"}).toDF("source", "n").collect()}
+    mix = packing.Mixture.of({k: int(v or 0) + 1 for k, v in sizes.items()})
+    assert len(mix.rate) > 1 and (np.diff(mix.times) > 0).any()
