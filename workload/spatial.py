@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridlake.functions import healpix
+from gridlake.cluster import stage_table
+from gridlake.operators import frames
 from gridlake.operators import mask as mk
 from gridlake.operators import regrid as rg
 from gridlake.operators.spine import hpx_cells
@@ -193,6 +195,13 @@ def remap_bilinear(spark, d):
     return remapped(spark, d)
 
 
+@query("E6_remap_packed", f"WITH {fx.GRID_SQL}, {CELLS4_SQL}, {ll_weights_sql('clamp')} {remap_sql('grid')}")
+def remap_packed(spark, d):
+    packed = stage_table(frames.pack_bands(fx.grid(spark, d), fx.NLAT, fx.NLON, rows=5), "bands")
+    out = frames.remap_ll_to_faces(packed, fx.NSIDE, fx.NLAT, fx.NLON, rows=5)
+    return frames.unpack_faces(out, fx.NSIDE).select("time", "pix", rnd("value", 5).alias("value"))
+
+
 @query("E6_remap_periodic", f"WITH {fx.GRID_SQL}, {CELLS4_SQL}, {ll_weights_sql('periodic')} {remap_sql('grid')}")
 def remap_periodic(spark, d):
     return remapped(spark, d, wrap="periodic")
