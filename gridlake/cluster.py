@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,3 +62,33 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def stage_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, order: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once to the shared folder, dealt into ``buckets`` files by ``keys`` and sorted within by them and ``order``.
+
+    What comes later and works by these keys or by more (windows of a series, climatologies, joins of two such stages
+    with as many buckets) finds the rows where they are, and shuffles nothing. That pays for fields whose
+    series are equally long, as those on a grid are; a bucket is one task, so rows of a hot key are not split.
+
+    Joins by more keys than the buckets have need a session from ``co_partitioned``. The stage is a table of the
+    session's catalog, as the buckets are told there; only its entry is local to the application, not the files.
+    """
+    spark = df.sparkSession
+    table = f"stage_{name}_{uuid.uuid4().hex}"
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys, *order) \
+        .option("path", scratch_path(spark, name)).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
+def co_partitioned(spark: SparkSession) -> SparkSession:
+    """A session of the same application, with the same tables, in which a join by (cell, time) uses an order by cell.
+
+    Spark otherwise deals both sides anew unless they are dealt by all the join's keys.
+    """
+    other = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        if (value := spark.conf.get(key, None)) is not None:
+            other.conf.set(key, value)
+    other.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return other

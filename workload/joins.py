@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridlake.cluster import co_partitioned, stage_bucketed
 from gridlake.operators import axis
 from gridlake.operators import spine as sp
 from gridlake.operators.align import align_inner, merge_outer, with_dimension
@@ -25,6 +26,18 @@ def inner(spark, d):
         .select("cell", "time", rnd("sp").alias("sp"), rnd("td").alias("td"))
 
 
+# Both fields lie in buckets by cell, so the join by cell and time shuffles neither.
+@query("F1_bucketed_stages", f"""
+WITH {fx.HUMID_SQL}
+SELECT cell, time, {srnd('sp.value')} AS sp, {srnd('td.value')} AS td FROM sp JOIN td USING (cell, time)
+""")
+def inner_of_stages(spark, d):
+    own = co_partitioned(spark)
+    sp_, td = (stage_bucketed(f(own, d).withColumnRenamed("value", n), n, ["cell"], 8, ["time"])
+               for n, f in (("sp", fx.sp_field), ("td", fx.td_field)))
+    return align_inner(sp_, td, ["cell", "time"]).select("cell", "time", rnd("sp").alias("sp"), rnd("td").alias("td"))
+
+
 @query("F2_merge_outer", f"""
 WITH {fx.HUMID_SQL}
 SELECT cell, time, {srnd('sp.value')} AS sp, {srnd('td.value')} AS td FROM sp FULL JOIN td USING (cell, time)
