@@ -23,7 +23,7 @@ from gridlake.operators.reshape import append_roles, stack_channels, variable_fi
 from gridlake.operators.spine import densify, hpx_cells
 from gridlake.sources import fields as src
 from gridlake.sources import granules as gr
-from gridlake.sources.parts import stage_parts
+from gridlake.sources.parts import part_of, stage_parts
 
 LL_KEYS = ("lat_idx", "lon_idx")
 
@@ -215,7 +215,7 @@ class TrainingSet:
     grid: IndexGrid = field(default_factory=IndexGrid)
     mask_south: bool = True
     wrap: str = "clamp"
-    period: str = "year"        # of the folders that stored stages are cut into
+    period: str = "year"        # of the folders that stored stages are cut into, and of the blocks of gap filling
 
 
 def prepare_training_set(params: TrainingSet, soil: DataFrame, sp: DataFrame, td: DataFrame, cells: DataFrame,
@@ -233,7 +233,7 @@ def prepare_training_set(params: TrainingSet, soil: DataFrame, sp: DataFrame, td
     q2m = derive_q2m(sp, td, **span)
     sat = process_satellite(cells, listing, spine, ll_cells.select("lat"), ll_cells.select("lon"), p.grid, (p.nlat, p.nlon))
     sat = sat.join(broadcast_within(ll_cells, p.nlat * p.nlon), ["lat", "lon"]).select("time", *LL_KEYS, "value")
-    ndvi = impute_job(densify(sat, ll_cells, LL_KEYS, times), p.satellite_fill, **span)
+    ndvi = impute_job(densify(sat, ll_cells, LL_KEYS, times), p.satellite_fill, **span, block=part_of(F.col("time"), p.period))
 
     # All variables cross to the cells together, and lie there cut by variable and time.
     spark = soil.sparkSession
