@@ -42,7 +42,7 @@ PERCENT = 85               # link from 100 * intersection >= PERCENT * union on,
 MISS = 2e-6                # probability that a pair at the threshold shares no band, at most
 MOST_PLACES = 176          # of a sketch
 SALT_ROWS = 512            # members of a bucket that meet what is known of it in one place, about
-BLOCK_NODES = 256          # a tile compares so many members of a bucket with as many others, about
+BLOCK_NODES = 128          # a tile compares so many members of a bucket with as many others, about
 
 _SHINGLE = mix(np.arange(1, SHINGLE_WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 _ROUND = mix(np.arange(1000, 1000 + 2 * MOST_PLACES, dtype=np.uint64))

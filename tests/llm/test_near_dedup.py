@@ -19,7 +19,7 @@ def shingles(text):
     return frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = {i: shingles(t) for i, t, *_ in rows if i is not None}
     up = {i: i for i in sets}
 
@@ -30,7 +30,7 @@ def brute(rows):
 
     for a, b in combinations(sorted(sets), 2):
         both = len(sets[a] & sets[b])
-        if both and 100 * both >= 85 * len(sets[a] | sets[b]):
+        if both and 100 * both >= percent * len(sets[a] | sets[b]):
             x, y = top(a), top(b)
             up[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), top(i), top(i) == i) for i in sets}
