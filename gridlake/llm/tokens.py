@@ -10,6 +10,7 @@ remembered too. Anything else, and every other tokenizer, goes through the libra
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,7 +53,10 @@ class Encoder(dict):
             and split.get("pattern") == {"Regex": _BY_WORDS["pattern"]} and split.get("invert") is True
             and spec["model"]["type"] == "BPE")
         self.specials = tuple(t["content"] for t in spec.get("added_tokens", []))
+        self._special = regex.compile("|".join(map(regex.escape, self.specials)) or "(?!)")
         self._pattern = regex.compile(_BY_WORDS["pattern"])
+        self._tokenize = self.tokenizer.model.tokenize
+        self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._letters = _byte_letters()
         self._pieces: dict[str, bytes] = {}
 
@@ -63,13 +67,21 @@ class Encoder(dict):
         ids = self._pieces.get(piece)
         if ids is None:
             letters = piece if piece.isascii() else "".join(map(self._letters.__getitem__, piece.encode()))
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], self.dtype).tobytes()
+            got = self._tokenize(letters)
+            ids = struct.pack(f"<{len(got)}{self._code}", *[t.id for t in got])
             self._pieces[piece] = ids
         return ids
 
     def __missing__(self, word: str) -> bytes:
-        if word.isprintable() and _latin(word) and not any(s in word for s in self.specials):
-            ids = b"".join(map(self._piece, self._pattern.findall(word.lower())))
+        if word.isprintable() and _latin(word) and not self._special.search(word):
+            low = word.lower()
+            # What the pattern finds in most words: letters, with one sign or digit behind at most.
+            if low.isalpha():
+                ids = self._piece(low)
+            elif (letters := low[:-1]).isalpha():
+                ids = self._piece(letters) + self._piece(low[-1])
+            else:
+                ids = b"".join(map(self._piece, self._pattern.findall(low)))
         else:
             ids = self._library(word)
         self[word] = ids

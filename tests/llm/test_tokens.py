@@ -155,3 +155,17 @@ def test_sources_run_dry_in_the_registered_query(spark):
     sizes = {r["source"] or "": r["n"] for r in docs.groupBy("source").agg({"n_chars": "sum"}).toDF("source", "n").collect()}
     mix = packing.Mixture.of({k: int(v or 0) + 1 for k, v in sizes.items()})
     assert len(mix.rate) > 1 and (np.diff(mix.times) > 0).any()
+
+
+def test_words_of_letters_and_one_sign_need_no_pattern(monkeypatch):
+    enc = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["don't I'LL 's x's 'S", "ª1 a² º. µ x½ ½ a¼", "é é 12a a1 ß SS", "a. b, c! d1 'tis -- --a a-- a-b", "<|endoftext|>a a<|endoftext|>", "ﬀ ① Ⅳ 日本語 İ"]
+    assert [enc.encode(t) for t in texts] == [enc._library(t) for t in texts]
+
+    class Never:
+        def findall(self, word):
+            raise AssertionError(word)
+
+    monkeypatch.setattr(enc, "_pattern", Never())
+    plain = "Quelques mots, simples. Zéro! x9 où? non"
+    assert enc.encode(plain) == enc._library(plain)
